@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, caps
+from feedloom.llm import bpe, caps, survivor, truncation
 from feedloom.llm.common import load
 
 
@@ -25,4 +25,17 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode(load(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p6_found": p6_found, "p7_ids": p7_ids}
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return survivor.survivors(load(spark, sf, "normalized_item"), load(spark, sf, "feed_config"))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = truncation.truncated(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
+    return found.select(F.col("row_id").alias("seq"), "field_name")
+
+
+def p3_source_report(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation.report(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p6_found": p6_found, "p7_ids": p7_ids}
