@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, caps, survivor, truncation
+from feedloom.llm import bpe, caps, neardup, survivor, truncation
 from feedloom.llm.common import load
 
 
+def _near(spark: SparkSession, sf: str) -> neardup.NearDuplicates:
+    return neardup.NearDuplicates(load(spark, sf, "normalized_item"), "seq", ["title", "content_snippet"], 0.7)
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _near(spark, sf).pairs()
+
+
+def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return _near(spark, sf).groups().withColumnRenamed("id", "seq")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """The rows beyond 10 of each run and contributor in normalized_item, and beyond 3 in selection_history."""
     people, feeds = load(spark, sf, "contributor"), load(spark, sf, "feed_config")
@@ -38,4 +50,4 @@ def p3_source_report(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.report(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p6_found": p6_found, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p7_ids": p7_ids}
