@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, caps, neardup, survivor, truncation
+from feedloom.llm import batchdedup, bpe, caps, neardup, survivor, truncation
 from feedloom.llm.common import load
 
 
@@ -21,6 +21,17 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return _near(spark, sf).groups().withColumnRenamed("id", "seq")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    names = load(spark, sf, "contributor").select("name").union(load(spark, sf, "feed_config").select("name")).distinct().limit(20_001).collect()
+    if len(names) > 20_000:
+        raise ValueError("more than 20,000 names of contributors and feeds")
+    known = {batchdedup.name_of(r.name) for r in names if r.name}
+    old = batchdedup.rows_of(load(spark, sf, "history"), "history", "id", "dedupe_key", "doi", "pmid", "content_fingerprint", "canonical_url", "title")
+    old = old.unionByName(batchdedup.rows_of(load(spark, sf, "selection_history"), "selection_history", "id", None, "doi", "pmid", "fingerprint", "url", "title"))
+    new = batchdedup.rows_of(load(spark, sf, "incoming_item"), "incoming_item", "item_id", "dedupe_key", "doi", "pmid", "content_fingerprint", "canonical_url", "title")
+    return batchdedup.repeats(old, new, known)
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """The rows beyond 10 of each run and contributor in normalized_item, and beyond 3 in selection_history."""
     people, feeds = load(spark, sf, "contributor"), load(spark, sf, "feed_config")
@@ -50,4 +61,4 @@ def p3_source_report(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.report(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids}
