@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import batchdedup, bpe, caps, neardup, survivor, truncation
+from feedloom.llm import batchdedup, bpe, caps, leakage, neardup, survivor, truncation
 from feedloom.llm.common import load
 
 
@@ -61,4 +61,12 @@ def p3_source_report(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.report(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaks(load(spark, sf, "documents"), "doc_id", "text", load(spark, sf, "eval_item"), "item_id", "passage")
+
+
+def p8_items(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.item_report(p8_found(spark, sf), load(spark, sf, "documents"), load(spark, sf, "eval_item"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items}
