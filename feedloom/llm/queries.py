@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import batchdedup, bpe, caps, leakage, neardup, survivor, truncation
+from feedloom.llm import batchdedup, bpe, caps, langid, leakage, neardup, survivor, truncation
 from feedloom.llm.common import load
 
 
@@ -69,4 +69,25 @@ def p8_items(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.item_report(p8_found(spark, sf), load(spark, sf, "documents"), load(spark, sf, "eval_item"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.corrected(load(spark, sf, "documents"), "doc_id", "text", "lang").select("doc_id", "lang")
+
+
+def p9_segments(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents")
+    return langid.segments(docs, "doc_id", "text", langid.fit(docs, "doc_id", "text", "lang"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_source_report": p3_source_report, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_items": p8_items, "p9_found": p9_found, "p9_segments": p9_segments}
+
+# Contributors by host or exact name; the fixture's names without a host are exact.
+_P6 = """
+select '{table}' as source_table, {id} as row_id from (
+  select r.{id}, row_number() over (partition by r.run_id, coalesce(h.contributor_id, n.contributor_id) order by r.{score} desc nulls last, r.{id}) as rn
+  from (select *, regexp_extract(lower(trim({url})), '^[a-z]+://(?:www\\.|m\\.)?([^/:?#]+)', 1) as host from {table}) r
+  left join contributor h on r.host = h.domain
+  left join contributor n on h.contributor_id is null and lower(trim(r.{name})) = lower(n.name)
+  where coalesce(h.contributor_id, n.contributor_id) is not null) where rn > {cap}"""
+SQL = {
+    "p6_found": _P6.format(table="normalized_item", id="seq", score="quality_score", url="canonical_url", name="source_name", cap=10) + "\nunion all\n" + _P6.format(table="selection_history", id="id", score="impact_score", url="url", name="source", cap=3),
+}
