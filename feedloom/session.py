@@ -26,3 +26,22 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through reliable storage, so that a lost executor costs no recomputation chain."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors, once for each application: they may share no file system with the driver."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_feedloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), "feedloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("feedloom", os.path.relpath(full, package)))
+    sc.addPyFile(path)
+    sc._feedloom_shipped = True
