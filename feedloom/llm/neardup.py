@@ -66,16 +66,18 @@ def frequent_words(df: DataFrame, row_id: str, fields: list[str], share: float =
         for b in batches:
             for _, found in _hashes([c.to_pylist() for c in b.columns[1:]]):
                 seen.update(found)
-                seen[0] += 1  # the number of records goes under 0
             if len(seen) > 500_000:
                 yield out()
                 seen.clear()
         if seen:
             yield out()
 
-    n = _columns(df, row_id, fields).mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = n.orderBy(F.desc(F.col("word") == 0), F.desc("n"), "word").limit(MAX_FREQUENT + 1).collect()
-    return [r.word for r in top[1:] if r.n > share * top[0].n] if top else []
+    filled = _columns(df, row_id, fields)
+    for i in range(len(fields)):
+        filled = filled.filter(F.col(f"f{i}").rlike(r"(?U)\S"))
+    least = share * filled.count()
+    n = filled.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") > least)
+    return [r.word for r in n.orderBy(F.desc("n"), "word").limit(MAX_FREQUENT).collect()]
 
 
 def word_sets(df: DataFrame, row_id: str, fields: list[str], frequent: list[int]) -> DataFrame:
