@@ -15,11 +15,11 @@ def capped_top(df: DataFrame, group: str, order: list[Column], cap: int, n: int)
     return kept.orderBy(*order).limit(n)
 
 
-def overflow(df: DataFrame, tier: str, order: list[Column], cap: int, full: str, to: str) -> DataFrame:
-    """Rows of tier ``full`` beyond its cap move to tier ``to``."""
-    top = df.filter(F.col(tier) == full).orderBy(*order).limit(cap).withColumn("_top", F.lit(True)).select("_top", *[c for c in df.columns])
-    rest = df.filter(F.col(tier) == full).join(top.drop("_top"), df.columns, "left_anti").withColumn(tier, F.lit(to))
-    return top.drop("_top").unionByName(rest).unionByName(df.filter((F.col(tier) != full) | F.col(tier).isNull()))
+def overflow(df: DataFrame, row_id: str, tier: str, order: list[Column], cap: int, full: str, to: str) -> DataFrame:
+    """Rows of tier ``full`` beyond the first ``cap`` in order move to tier ``to``; only ``cap`` ids are kept aside."""
+    top = df.filter(F.col(tier) == full).orderBy(*order).limit(cap).select(F.col(row_id).alias("_id"), F.lit(True).alias("_top"))
+    out = df.join(top, F.col(row_id) == F.col("_id"), "left")
+    return out.withColumn(tier, F.when((F.col(tier) == full) & F.col("_top").isNull(), to).otherwise(F.col(tier))).drop("_id", "_top")
 
 
 def select_ordered(df: DataFrame, row_id: str, order: str, caps: dict[str, int], roles: list[tuple[str, str, int]], pool: int = 20_000) -> DataFrame:

@@ -1 +1 @@
-
+"""Readers and writers: feeds, text blocks, JSON, XML and versioned state."""
