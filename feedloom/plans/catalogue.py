@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.plans import instants
+from feedloom.plans import entities, ingest, instants
 
-QUERIES = {**instants.QUERIES}
-SQL = {**instants.SQL}
+MODULES = (instants, ingest, entities)
+QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
+SQL = {name: q for m in MODULES for name, q in m.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
