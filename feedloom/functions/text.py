@@ -65,7 +65,7 @@ def numbers(c: Column) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"(?<=[.!?])\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"(?<=[.!?])\s+"), strip), lambda s: s != "")
 
 
 def first_sentences(c: Column, n: int) -> Column:

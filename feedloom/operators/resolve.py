@@ -40,7 +40,7 @@ def best_of(df: DataFrame, cluster: str, score: str, row_id: str) -> DataFrame:
     return df.groupBy(cluster).agg(best.alias("_best"), F.count("*").alias("cluster_size")).select(cluster, "cluster_size", "_best.*")
 
 
-_BUCKETS = 24
+LETTERS = "abcdefghijklmnoprstuvwy"
 
 
 def fuzzy_pairs(df: DataFrame, row_id: str, title: str, at: str, threshold: float = 0.85, days: int = 7) -> DataFrame:
@@ -51,7 +51,7 @@ def fuzzy_pairs(df: DataFrame, row_id: str, title: str, at: str, threshold: floa
     equal titles go through :func:`key_edges`.
     """
     t = comparable_title(F.col(title))
-    letters = F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda i: F.length(F.col("t")) - F.length(F.translate(F.col("t"), F.substring(F.lit("abcdefghijklmnoprstuvwy"), i + 1, F.lit(1)), "")))
+    letters = F.transform(F.sequence(F.lit(0), F.lit(len(LETTERS) - 1)), lambda i: F.length(F.col("t")) - F.length(F.replace(F.col("t"), F.substr(F.lit(LETTERS), i + 1, F.lit(1)), F.lit(""))))
     day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(86_400_000_000.0) / (days + 1)).cast("bigint")
     base = df.select(F.col(row_id).alias("id"), t.alias("t"), F.col(at).cast("timestamp").alias("at"), day.alias("day")).filter("t != '' and at is not null")
     base = base.withColumn("n", F.length("t")).withColumn("h", letters)

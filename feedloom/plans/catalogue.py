@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from feedloom.plans import entities, ingest, instants, texts
+from feedloom.plans.texts import flagship
 
-from feedloom.plans import entities, ingest, instants
+__all__ = ["QUERIES", "SQL", "flagship"]
 
-MODULES = (instants, ingest, entities)
+MODULES = (instants, ingest, entities, texts)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in MODULES for name, q in m.SQL.items()}
-
-
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return instants.p2_found(spark, sf)
