@@ -49,7 +49,7 @@ _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|[\n\r  ]+|\s[|•
 def label_of(label: Column) -> Column:
     """The language that a label names: a code of ``LANGUAGES``, ``other``, or null if it is missing."""
     x = F.lower(F.regexp_replace(F.coalesce(label, F.lit("")), r"(?U)^\s+|\s+$", ""))
-    base = F.regexp_extract(x, r"(?U)^([\w?/]+|-)", 1)
+    base = F.regexp_extract(x, r"^([\p{L}?/]+|-)", 1)
     known = F.create_map(*[F.lit(v) for code, names in LANGUAGES.items() for name in names.split() for v in (name, code)])
     return F.when(x.isin(*UNKNOWN) | base.isin(*UNKNOWN), F.lit(None)).otherwise(F.coalesce(F.try_element_at(known, x), F.try_element_at(known, base), F.lit("other")))
 
@@ -79,7 +79,7 @@ class Profiles:
         self.ranks = np.full((len(self.langs), len(names)), PROFILE, np.int32)
         for k, lang in enumerate(self.langs):
             self.ranks[k, [self.index[g] for g in ranked[lang]]] = np.arange(len(ranked[lang]))
-        self.lead = self.ranks.min(0).astype(np.int64)
+        self.lead = self.ranks.min(0, initial=PROFILE).astype(np.int64)
         self.cache: dict[str, np.ndarray] = {}
 
     def _ids(self, word: str) -> np.ndarray:

@@ -34,6 +34,8 @@ from feedloom.llm.components import components
 FREQUENT_SHARE, MAX_FREQUENT = 0.002, 32_000
 #: Hash groups of the lowest level; each level has twice as many.
 LEAST_GROUPS = 4
+#: What rounding may take from a bound that is a whole number.
+EPSILON = 1e-9
 _MASK = (1 << 64) - 1
 
 
@@ -123,13 +125,13 @@ def _rare_pairs(sets: DataFrame, t: float) -> DataFrame:
     total = F.col("l.size") + F.col("r.size")
     # the word is the first that both share: of each set's rare words, those before it are in no common part
     reach = 1 + F.least(F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at")) - 1
-    on = (F.col("l.word") == F.col("r.word")) & (F.col("l.id") < F.col("r.id")) & (_differ("l", "r") <= _slack(t) * total) & (reach >= need * total - 1e-9)
+    on = (F.col("l.word") == F.col("r.word")) & (F.col("l.id") < F.col("r.id")) & (_differ("l", "r") <= _slack(t) * total + EPSILON) & (reach >= need * total - EPSILON)
     return left.join(right, on).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
 
 
 def _level(c: Column) -> Column:
     """The groups of the lowest level with more than twice ``c``."""
-    k = F.ceil(F.log2((F.floor(F.greatest(c, F.lit(0.0)) * 2) + 1) / LEAST_GROUPS))
+    k = F.ceil(F.log2((F.floor(F.greatest(c, F.lit(0.0)) * 2 + EPSILON) + 1) / LEAST_GROUPS))
     return (F.lit(LEAST_GROUPS) * F.pow(F.lit(2), F.greatest(k, F.lit(0)))).cast("int")
 
 
@@ -148,7 +150,7 @@ def _group_keys(levels: list[int]):
                 mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
                 mixed ^= mixed >> np.uint64(32)
                 for m in levels:
-                    p = np.floor(c + m / 2).astype(np.int64) + 1
+                    p = np.floor(c + m / 2 + EPSILON).astype(np.int64) + 1
                     shown = (own <= m) & (p > 0)
                     if not shown.any():
                         continue
@@ -164,7 +166,7 @@ def _group_keys(levels: list[int]):
                     kept = (rank < p[whose[order]]) & shown[whose[order]]
                     take, at = order[kept], whose[order[kept]]
                     # of a pair the record with the larger c asks, so that twice its own c bounds what differs
-                    asks = (own[at] == m) & (rank[kept] <= np.floor(2 * np.maximum(c[at], 0)))
+                    asks = (own[at] == m) & (rank[kept] <= np.floor(2 * np.maximum(c[at], 0) + EPSILON))
                     yield pa.RecordBatch.from_arrays([pa.array(key[take].view(np.int64)), pa.array(ids[at]), pa.array((size[at] * 2 + asks).astype(np.int32)), pa.array(s0[at]), pa.array(s1[at])], ["key", "id", "flag", "s0", "s1"])
 
     return each
@@ -180,7 +182,7 @@ def _common_pairs(sets: DataFrame, t: float) -> DataFrame | None:
     keys = shown.mapInArrow(_group_keys(levels), "key bigint, id bigint, flag int, s0 bigint, s1 bigint")
     left, right = keys.filter("flag % 2 = 1").alias("l"), keys.alias("r")
     total = F.shiftright("l.flag", 1) + F.shiftright("r.flag", 1)
-    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & (_differ("l", "r") <= _slack(t) * total)
+    on = (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id")) & (_differ("l", "r") <= _slack(t) * total + EPSILON)
     return left.join(right, on).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
 
 
@@ -195,7 +197,7 @@ def similar_sets(sets: DataFrame, t: float) -> DataFrame:
     both = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
     total = F.col("x.size") + F.col("y.size")
     shared = F.size(F.array_intersect("x.common", "y.common")) + F.size(F.array_intersect("x.rare", "y.rare"))
-    return both.filter(shared / (total - shared) >= t - 1e-12).select("a", "b")
+    return both.filter(shared / (total - shared) >= t - EPSILON).select("a", "b")
 
 
 class NearDuplicates:
