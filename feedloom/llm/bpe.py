@@ -21,6 +21,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import spread
+
 #: Where the vocabularies of the public tokenizers are, unless the caller names another place.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -101,7 +103,7 @@ def encode(df: DataFrame, doc_id: str, text: str, path: str = f"{TOKENIZERS}/byt
                 part = b.slice(k, 500)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([book.encode(t) for t in part.column(1).to_pylist()], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(ids, "doc_id bigint, ids array<int>")
+    return spread(df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")), "doc_id").mapInArrow(ids, "doc_id bigint, ids array<int>")
 
 
 def decode(df: DataFrame, doc_id: str, ids: str, path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:

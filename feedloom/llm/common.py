@@ -4,28 +4,18 @@ from __future__ import annotations
 
 import html
 import re
-import tempfile
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The most rows of a dimension table that are broadcast; a larger one is joined by shuffle.
-MAX_DIMENSION = 10_000
-
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from feedloom.session import cut, load
 
+__all__ = ["cut", "host_of", "load", "plain", "small", "spread", "strip", "word_hash", "words"]
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder of ``spark.checkpoint.dir``, a private one only where unset."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or f"{tempfile.gettempdir()}/feedloom-checkpoints")
-    return df.checkpoint(eager=True)
+#: The most rows of a dimension table that are broadcast; a larger one is joined by shuffle.
+MAX_DIMENSION = 10_000
 
 
 def small(df: DataFrame, limit: int = MAX_DIMENSION) -> DataFrame:
@@ -33,6 +23,13 @@ def small(df: DataFrame, limit: int = MAX_DIMENSION) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Over all cores, by a unique key, if the files give fewer partitions than there are cores: for work that costs far
+    more a row than moving it."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if df.rdd.getNumPartitions() < n else df
+
+
 def strip(c: Column) -> Column:
     """Without outer white space of any kind."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

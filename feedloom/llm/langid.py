@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from feedloom.llm.common import cut, plain
+from feedloom.llm.common import cut, plain, spread
 
 # The languages and how labels write them.
 LANGUAGES = {
@@ -193,7 +193,7 @@ def segments(docs: DataFrame, doc_id: str, text: str, profiles: Profiles) -> Dat
                     cols = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.float64())], ["doc_id", "segment", "lang", "n_words", "confidence"])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(each, "doc_id bigint, segment int, lang string, n_words int, confidence double")
+    return spread(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")), "doc_id").mapInArrow(each, "doc_id bigint, segment int, lang string, n_words int, confidence double")
 
 
 def corrected(docs: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:

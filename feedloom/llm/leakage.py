@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import plain
+from feedloom.llm.common import plain, spread
 
 #: Consecutive words of a passage that count as a leak.
 RUN = 12
@@ -133,7 +133,7 @@ def _blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[tuple
 
 def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str) -> DataFrame:
     """``(doc_id, item_id)`` of every document that holds ``RUN`` consecutive words of an item's passage."""
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    source = spread(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")), "doc_id")
     out = None
     for block in _blocks(items, item_id, passage):
         shared = docs.sparkSession.sparkContext.broadcast(block)
