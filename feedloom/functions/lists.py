@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 def merged_tags(*lists: Column) -> Column:
     """All tags in order without blanks; of spellings that differ in case only the first stays."""
-    flat = F.filter(F.transform(F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])), F.trim), lambda t: t.isNotNull() & (t != ""))
+    flat = F.filter(F.transform(F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])), lambda t: F.trim(t)), lambda t: t.isNotNull() & (t != ""))
     return F.aggregate(flat, F.array().cast("array<string>"), lambda acc, t: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(t)), acc).otherwise(F.concat(acc, F.array(t))))
 
 
 def names(authors: Column, single: Column | None = None) -> Column:
     """Non-blank names, else the single author."""
-    clean = F.filter(F.transform(F.coalesce(authors, F.array().cast("array<string>")), F.trim), lambda a: a.isNotNull() & (a != ""))
+    clean = F.filter(F.transform(F.coalesce(authors, F.array().cast("array<string>")), lambda a: F.trim(a)), lambda a: a.isNotNull() & (a != ""))
     if single is None:
         return clean
     return F.when(F.size(clean) > 0, clean).otherwise(F.filter(F.array(F.trim(single)), lambda a: a.isNotNull() & (a != "")))

@@ -43,7 +43,7 @@ REGIONAL = {
     ("Europe/Dublin", "ist"): 60, ("Asia/Jerusalem", "ist"): 120, ("Asia/Dhaka", "bst"): 360,
 }
 
-CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\+00:00$"
+CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\+00:00\z"
 _ZONE = r"\s*([Zz]|[+-]\d{2}:?\d{2}|[+-]\d{2}|[A-Za-z]{2,5})?"
 _CLOCK = r"(\d{1,2})[:h.](\d{2})(?::(\d{2})(?:[.,](\d+))?)?\s*(?:Uhr)?\s*([AaPp]\.?[Mm]\.?)?"
 _ISO = r"^(\d{4})([-/]?)(\d{2})\2(\d{2})(?:(?:[Tt]|\s+)?(\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?" + _ZONE + r"(?:\[([^\]]+)\])?$"

@@ -20,7 +20,8 @@ def write_blocks(df: DataFrame, number: str, fields: dict[str, Column], content:
 
 def document(blocks: DataFrame, header: str = "") -> DataFrame:
     """All blocks as one text, in order: for export of a bounded issue."""
-    return blocks.agg(F.concat(F.lit(header + "\nARTICLE DETAILS\n" + RULE + "\n"), F.listagg("block", F.lit("\n")).withinGroup(F.col("number")) if hasattr(F.listagg("block", F.lit("\n")), "withinGroup") else F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "block"))), lambda x: x["block"]), "\n")).alias("text"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("number", "block"))), lambda x: x["block"])
+    return blocks.agg(F.concat(F.lit(header + "\nARTICLE DETAILS\n" + RULE + "\n"), F.array_join(ordered, "\n")).alias("text"))
 
 
 def parse_blocks(df: DataFrame, text: str, fields: tuple[str, ...] = FIELDS) -> DataFrame:

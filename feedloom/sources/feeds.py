@@ -55,15 +55,16 @@ def _name(tag: str) -> str:
 
 def entries(body: bytes) -> tuple[list[dict], bool]:
     """The entries of RSS or Atom, and whether the document was whole; of a broken one those before the break."""
-    out, whole = [], True
+    out, events, whole = [], [], True
     parser = ET.XMLPullParser(["end"])
-    try:
-        parser.feed(body)
-        events = list(parser.read_events())
-        parser.close()
-        events += list(parser.read_events())
-    except ET.ParseError:
-        whole, events = False, list(parser.read_events())
+    for step in (lambda: parser.feed(body), parser.close):
+        try:
+            step()
+            for event in parser.read_events():
+                events.append(event)
+        except ET.ParseError:
+            whole = False
+            break
     for _, node in events:
         if _name(node.tag) not in ("item", "entry"):
             continue
