@@ -88,6 +88,15 @@ select '{table}' as source_table, {id} as row_id from (
   left join contributor h on r.host = h.domain
   left join contributor n on h.contributor_id is null and lower(trim(r.{name})) = lower(n.name)
   where coalesce(h.contributor_id, n.contributor_id) is not null) where rn > {cap}"""
+# Words without the entities and broken entities that the texts hold; pairs by the words they share, then the exact share.
+_P4 = r"""
+with t as (select seq, title || chr(10) || content_snippet as x from normalized_item where regexp_matches(title, '[^\s\x{85}\p{Z}]') and regexp_matches(content_snippet, '[^\s\x{85}\p{Z}]')),
+ p as (select seq, regexp_replace(replace(replace(replace(replace(regexp_replace(x, '&hellip;', ' ', 'gi'), '&#82', 'R'), '&AMP;', '&'), '&Amp;', '&amp;'), '&amp;', '&'), '</?[A-Za-z!][^<>]*>', ' ', 'g') as x from t),
+ w as (select distinct seq, unnest(regexp_extract_all(lower(x), '[\p{L}\p{N}]+')) as w from p),
+ n as (select seq, count(*) as n from w group by seq),
+ c as (select a.seq as seq_a, b.seq as seq_b, count(*) as c from w a join w b on a.w = b.w and a.seq < b.seq group by 1, 2)
+select seq_a, seq_b from c join n x on x.seq = seq_a join n y on y.seq = seq_b where c / (x.n + y.n - c) >= 0.7 - 1e-9"""
 SQL = {
+    "p4_found": _P4,
     "p6_found": _P6.format(table="normalized_item", id="seq", score="quality_score", url="canonical_url", name="source_name", cap=10) + "\nunion all\n" + _P6.format(table="selection_history", id="id", score="impact_score", url="url", name="source", cap=3),
 }
