@@ -94,8 +94,9 @@ def phrases_in(c: Column, phrases: list[str]) -> Column:
 
 
 def has_word(c: Column, word: str) -> Column:
-    """Whether lower-cased text holds ``word`` between word boundaries."""
-    return F.lower(F.coalesce(c, F.lit(""))).rlike(r"(^|[^\p{L}\p{N}_])" + _quoted(word) + r"($|[^\p{L}\p{N}_])")
+    """Whether lower-cased text holds ``word`` between word boundaries; the pattern runs only where the letters occur."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    return F.contains(low, F.lit(word.lower())) & low.rlike(r"(^|[^\p{L}\p{N}_])" + _quoted(word) + r"($|[^\p{L}\p{N}_])")
 
 
 def _quoted(text: str) -> str:

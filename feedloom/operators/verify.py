@@ -38,15 +38,18 @@ def checks(summary: Column, evidence: Column, article_type: Column, confidence:
 
 def labelled_sentences(summary: Column, evidence: Column, finding: Column, subject: Column) -> Column:
     """``(sentence, label, rule)`` of each sentence; the first rule that applies decides."""
-    def label(s: Column) -> Column:
-        bad_number = F.size(F.array_except(numbers(s), numbers(evidence))) > 0
-        bad_design = F.size(F.array_except(phrases_in(s, DESIGNS), phrases_in(evidence, DESIGNS))) > 0
-        found = (F.coalesce(finding, F.lit("")) != "") & (containment(tokens(s, 3), tokens(finding, 3)) >= 0.60)
+    known = F.struct(numbers(evidence).alias("n"), phrases_in(evidence, DESIGNS).alias("d"), tokens(finding, 3).alias("t"))
+
+    def label(s: Column, e: Column) -> Column:
+        bad_number = F.size(F.array_except(numbers(s), e["n"])) > 0
+        bad_design = F.size(F.array_except(phrases_in(s, DESIGNS), e["d"])) > 0
+        found = (F.size(e["t"]) > 0) & (containment(tokens(s, 3), e["t"]) >= 0.60)
         named = (F.coalesce(subject, F.lit("")) != "") & F.contains(F.lower(s), F.lower(F.coalesce(subject, F.lit(""))))
         made = lambda name, rule: F.struct(s.alias("sentence"), F.lit(name).alias("label"), F.lit(rule).alias("rule"))
         return F.when(bad_number, made("unsupported", "number")).when(bad_design, made("unsupported", "design")).when(found, made("supported", "finding")).when(named, made("weakly_supported", "subject")).otherwise(made("weakly_supported", "unverified"))
 
-    return F.transform(sentences(without_headers(summary)), label)
+    # what is known of the evidence is worked out once for each row, not once for each sentence
+    return F.get(F.transform(F.array(known), lambda e: F.transform(sentences(without_headers(summary)), lambda s: label(s, e))), F.lit(0))
 
 
 def filtered(text: Column, labels: Column) -> Column:
