@@ -12,12 +12,15 @@ rows are judged alike; texts are read whole, however long.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import cut
+
 # What feeds write where a text is missing.
 PLACEHOLDERS = (
     "n/a na null none no summary no abstract|abstract not available|summary not available|not available|summary to follow|"
@@ -98,30 +101,40 @@ def verdict(text: str | None) -> str:
 
 
 def judged(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:
-    """``(row_id, source, field_name, verdict)`` of every value of ``fields``; row-local."""
-    schema = "row_id bigint, source string, field_name string, verdict string"
+    """``(row_id, source, field_name, verdict, n)``: every value that is cut or bare, and, with a null ``row_id``, how many
+    values of each verdict a source has in each batch.  One row-local pass serves the cases and the baseline."""
+    schema = "row_id bigint, source string, field_name string, verdict string, n bigint"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, src = b.column(0), b.column(1)
+            ids, src = b.column(0).to_pylist(), b.column(1).to_pylist()
+            rows, counts = [], Counter()
             for k, f in enumerate(fields):
-                yield pa.RecordBatch.from_arrays([ids, src, pa.array([f] * b.num_rows, pa.string()), pa.array([verdict(t) for t in b.column(2 + k).to_pylist()], pa.string())], ["row_id", "source", "field_name", "verdict"])
+                for i, s, t in zip(ids, src, b.column(2 + k).to_pylist()):
+                    v = verdict(t)
+                    if v != "missing":
+                        counts[s, v] += 1
+                        if v != "whole":
+                            rows.append((i, s, f, v, 1))
+            rows += [(None, s, None, v, n) for (s, v), n in counts.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()))], ["row_id", "source", "field_name", "verdict", "n"])
 
     return df.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(source).cast("string").alias("source"), *[F.col(f).cast("string").alias(f) for f in fields]).mapInArrow(each, schema)
 
 
 def baseline(verdicts: DataFrame) -> DataFrame:
-    """For each source: its values, those judged cut and those without a terminator, counted map-side."""
-    n = verdicts.filter("verdict != 'missing'").groupBy("source").agg(F.count("*").alias("n_values"), F.count_if(F.col("verdict").startswith("cut")).alias("n_marked"), F.count_if(F.col("verdict") == "bare").alias("n_bare"))
+    """For each source: its values, those judged cut and those without a terminator, added up from the batches."""
+    part = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    n = verdicts.filter("row_id is null").groupBy("source").agg(F.sum("n").alias("n_values"), part(F.col("verdict").startswith("cut")).alias("n_marked"), part(F.col("verdict") == "bare").alias("n_bare"))
     return n.withColumn("bare_is_usual", (F.col("n_values") >= BARE_LEAST) & (F.col("n_bare") > BARE_SHARE * F.col("n_values")))
 
 
 def truncated(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:
-    """``(row_id, field_name, reason)`` of the values that lost their end."""
-    v = judged(df, row_id, source, fields)
+    """``(row_id, field_name, reason)`` of the values that lost their end; rows without an identifier have no row."""
+    v = cut(judged(df, row_id, source, fields))
     usual = baseline(v).filter("bare_is_usual").select(F.coalesce("source", F.lit("")).alias("_source"))
-    cut = v.filter("verdict = 'bare' or verdict like 'cut%'")
-    bare = cut.withColumn("_key", F.when(F.col("verdict") == "bare", F.coalesce("source", F.lit(""))))
+    bare = v.filter("row_id is not null").withColumn("_key", F.when(F.col("verdict") == "bare", F.coalesce("source", F.lit(""))))
     return bare.join(usual, F.col("_key") == F.col("_source"), "left_anti").select("row_id", "field_name", F.col("verdict").alias("reason"))
 
 
