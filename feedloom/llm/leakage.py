@@ -156,4 +156,4 @@ def item_report(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFram
     small = items.select("item_id", "prompt", "answer")
     text = found.join(docs.select("doc_id", F.lower("text").alias("text")), "doc_id").join(small, "item_id")
     word = F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.lower("answer"), F.lit(r"\E(?!\w)"))
-    return text.groupBy("item_id").agg(F.count("*").alias("documents"), F.count_if(F.expr("text") .rlike(word)).alias("with_answer"), F.count_if(F.contains("text", F.lower("prompt"))).alias("with_question"))
+    return text.groupBy("item_id").agg(F.count("*").alias("documents"), F.count_if(F.regexp_like("text", word)).alias("with_answer"), F.count_if(F.contains("text", F.lower("prompt"))).alias("with_question"))
