@@ -11,9 +11,10 @@ titles within ``RADIUS`` differ by no more than that in each pivot distance: row
 pivot distances, a new title visits the cells in reach, a parity sketch bounds the distance from below, and the true
 distance and the words decide.
 
-Defined results: null, blank, placeholder and stub keys match nothing; titles of fewer than ``LEAST_WORDS`` words and
-those that many accepted rows carry name no article; an item that repeats something is not accepted and so matches no
-later one; repeated rows match the smallest accepted one; empty tables give no rows.
+Defined results: null, blank, placeholder and stub keys match nothing, and neither do titles that stand for none; titles
+of recurring columns (:func:`columns_of`) name no article; titles of fewer than ``LEAST_WORDS`` words match when they are
+equal, not by edits; an item that repeats something is not accepted and so matches no later one; repeated rows match the
+smallest accepted one; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +30,14 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import cut, plain, strip
 from feedloom.llm.survivor import bare_doi, key_of
+from feedloom.llm.truncation import is_missing
 
 #: The largest letter distance of two titles of one article, and the misspelt words it may hold.
 RADIUS, MISSPELT = 6, 3
-#: Shorter titles, and those of so many accepted rows, are columns that recur.
-LEAST_WORDS, RECURRING = 6, 12
+#: Shorter titles are compared for equality only: an edit makes another title of them.
+LEAST_WORDS = 6
+# What stands where a title is missing, as sorted words.
+UNTITLED = {" ".join(sorted(t.split())) for t in ("untitled", "title", "no title", "untitled document", "title not available", "title unavailable", "missing title", "no title available")}
 # Fixed value: letters from the most to the least frequent in English.
 LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
 #: The letter groups of the pivots beside the empty text: about half of a text's letters each, and half of every other
@@ -144,7 +148,7 @@ def title_table(rows: DataFrame, names: set[str]) -> DataFrame:
             out = []
             for k, t in enumerate(b.column(2).to_pylist()):
                 w = title_words(t, names)
-                if len(w) < LEAST_WORDS:
+                if not w or len(w) < LEAST_WORDS and (is_missing(t) or " ".join(w) in UNTITLED or name_of(t) in names):
                     continue
                 n, s = _letters(w), [0, 0]
                 for c, times in n.items():
@@ -174,9 +178,10 @@ _WIDTH = 2 * RADIUS + 1
 def near_titles(new: DataFrame, known: DataFrame) -> DataFrame:
     """``(name, other)``: different titles of ``new`` and ``known`` (pivot-distance tables) that name one article."""
     cols = ["name", "numbers", *PIVOTS, "s0", "s1"]
+    long = F.size(F.split("name", " ")) >= LEAST_WORDS
     cell = lambda c, shift=0: F.floor((F.col(c) + shift) / _WIDTH).cast("int")
-    y = known.select(*cols).dropDuplicates(["name"]).withColumns({f"c{i}": cell(d) for i, d in enumerate(PIVOTS)})
-    x = new.select(*cols).dropDuplicates(["name"])
+    y = known.filter(long).select(*cols).dropDuplicates(["name"]).withColumns({f"c{i}": cell(d) for i, d in enumerate(PIVOTS)})
+    x = new.filter(long).select(*cols).dropDuplicates(["name"])
     for i, d in enumerate(PIVOTS):
         x = x.withColumn(f"c{i}", F.explode(F.sequence(cell(d, -RADIUS), cell(d, RADIUS))))
     x, y = x.alias("x"), y.alias("y")
@@ -194,6 +199,19 @@ def near_titles(new: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.mapInArrow(verify, "name string, other string")
 
 
+def columns_of(titles: DataFrame, keys: DataFrame) -> DataFrame:
+    """``name`` of the titles of recurring columns: their rows carry different identifiers.
+
+    Copies of an article agree in DOI or PMID however many they are, the issues of a column do not: no DOI, or no PMID,
+    holds half of the rows of its title that have one.  A short title is a column already if none holds more than half.
+    """
+    marks = keys.filter(F.substring("key", 1, 2).isin("d:", "p:")).join(titles.select("tbl", "id", "name"), ["tbl", "id"])
+    each = marks.groupBy("name", "key").agg(F.count("*").alias("n")).groupBy("name", F.substring("key", 1, 2).alias("kind"))
+    each = each.agg(F.sum("n").alias("n"), F.max("n").alias("top"))
+    half = F.when(F.size(F.split("name", " ")) < LEAST_WORDS, 2 * F.col("top") <= F.col("n")).otherwise(2 * F.col("top") < F.col("n"))
+    return each.filter(half).select("name").distinct()
+
+
 class Accepted:
     """What has been accepted: a table of keys and a pivot-distance table, to which batches are appended."""
 
@@ -216,7 +234,7 @@ def repeats(old: DataFrame, new: DataFrame, names: set[str]) -> DataFrame:
     known, batch = Accepted(old, names), Accepted(new, names)
     titles = cut(known.titles.unionByName(batch.titles))
     mine, theirs = titles.filter(F.col("tbl") == "incoming_item"), titles.filter(F.col("tbl") != "incoming_item")
-    columns = theirs.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") >= RECURRING).select("name")
+    columns = cut(columns_of(titles, known.keys.unionByName(batch.keys)))
     mine, theirs = (t.join(columns, "name", "left_anti") for t in (mine, theirs))
     links = cut(near_titles(mine, theirs.unionByName(mine)))
     # two titles that differ by small edits become one more key of the rows of both

@@ -74,6 +74,16 @@ def test_titles(spark, title, same):
     assert (repeats(spark, [("history", 7, TITLE, [])], [("incoming_item", 1, title, [])]) == {(1, "history", 7)}) is same
 
 
+def test_hot_article_and_recurring_columns(spark):
+    column, short = "Letters to the editor of this journal", "Meeting calendar"
+    old = [("history", i, TITLE, ["d:10.1234/one"] if i % 2 else []) for i in range(30)]
+    old += [("history", 100 + i, column, [f"d:10.1234/c{i}"]) for i in range(20)] + [("history", 200 + i, short, [f"p:{i}"] if i % 2 else []) for i in range(4)]
+    old += [("history", 300, "Embryo glue revisited", ["d:10.1234/e"]), ("history", 301, "Embryo glue revisited!", []), ("history", 302, "Untitled", []), ("history", 303, "Garul Medicine", [])]
+    new = [("incoming_item", i, t, []) for i, t in enumerate([TITLE, TITLE.replace("embryo", "embyro"), column, column + " ", short, "EMBRYO glue revisited", "Embryo glue revisitd", "untitled", "Garul medicine"])]
+    want = {(i, "history", k) for i in (0, 1) for k in range(30)} | {(5, "history", 300), (5, "history", 301)}
+    assert repeats(spark, old, new) == want
+
+
 def test_accepted_items_only(spark):
     new = [("incoming_item", 1, None, ["a"]), ("incoming_item", 2, None, ["a", "b"]), ("incoming_item", 3, None, ["b", "c"]), ("incoming_item", 4, None, ["c"]), ("incoming_item", 5, None, ["h"]), ("incoming_item", 6, None, ["h", "z"]), ("incoming_item", 7, None, ["z"]), ("incoming_item", 8, None, [])]
     assert repeats(spark, [("history", 1, None, ["h"])], new) == {(2, "incoming_item", 1), (4, "incoming_item", 3), (5, "history", 1), (6, "history", 1)}
