@@ -3,7 +3,8 @@
 One pass over the structural characters of a value keeps a stack of what is open.  The end of the value then tells:
 a broken multibyte sequence, entity or tag is a cut by itself; a sign of omission is one if what precedes it is not
 a whole sentence; and a value without a terminator is one unless it closes with a label, a link or a number, or its
-source leaves terminators out as a rule (the share of such values of each source is counted over all rows).
+source leaves terminators out as a rule: the share of such values of each source is counted over all rows that lie below
+the length limit of their field, and only values below it are excused.  A limit shows in lengths that pile up.
 
 Defined results: null, blank and placeholder values are no cases and do not count as values of a source; repeated
 rows are judged alike; texts are read whole, however long.
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from feedloom.llm.common import cut
 
@@ -28,8 +30,12 @@ PLACEHOLDERS = (
 )
 _MISSING = {"".join(c for c in x if c.isalnum()) for x in [*PLACEHOLDERS.split("|")[0].split()[:4], "nosummary", "noabstract", *PLACEHOLDERS.split("|")[1:]]}
 
-#: A source that leaves the terminator out of this share of its values, over at least so many, closes texts without one.
-BARE_SHARE, BARE_LEAST = 0.5, 20
+#: A source that surely (so many standard deviations) leaves the terminator out of more than this share of its values below
+#: the length limit closes texts without one.
+BARE_SHARE, SURE = 0.5, 3.0
+#: Lengths are counted in cells of so many letters; a field whose values without terminator lie by more than ``BARE_SHARE``
+#: within so many cells, and do not end in one word, is cut there.
+CELL, PILE = 8, 3
 
 _OMITTED = re.compile(r"(?:\s*(?:…|\.\s?\.\s?\.|&hellip;|\[\s*(?:…|\.\.\.|more)\s*\]|\((?:continued|more)\)|\b(?:read more|continue reading)\b\W*))+\s*[»›]?\s*$", re.I)
 _BROKEN = re.compile(r"(?:�+|[ÂÃ]|â(?:€.?)?)$")
@@ -101,9 +107,11 @@ def verdict(text: str | None) -> str:
 
 
 def judged(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:
-    """``(row_id, source, field_name, verdict, n)``: every value that is cut or bare, and, with a null ``row_id``, how many
-    values of each verdict a source has in each batch.  One row-local pass serves the cases and the baseline."""
-    schema = "row_id bigint, source string, field_name string, verdict string, n bigint"
+    """``(row_id, source, field_name, verdict, cell, last, total, n)``: every value that is cut or bare with its last word, and, where
+    ``total``, how many values of each verdict and length a source has in each batch.  One row-local
+    pass serves the cases and the baseline."""
+    schema = "row_id bigint, source string, field_name string, verdict string, cell int, last string, total boolean, n bigint"
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.int64())
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -113,33 +121,59 @@ def judged(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFr
                 for i, s, t in zip(ids, src, b.column(2 + k).to_pylist()):
                     v = verdict(t)
                     if v != "missing":
-                        counts[s, v] += 1
+                        t = t.strip()
+                        counts[s, f, v, len(t) // CELL] += 1
                         if v != "whole":
-                            rows.append((i, s, f, v, 1))
-            rows += [(None, s, None, v, n) for (s, v), n in counts.items()]
+                            rows.append((i, s, f, v, len(t) // CELL, t[-40:].rsplit(None, 1)[-1].lower() if v == "bare" else None, False, 1))
+            rows += [(None, s, f, v, c, None, True, n) for (s, f, v, c), n in counts.items()]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()))], ["row_id", "source", "field_name", "verdict", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [x.split()[0] for x in schema.split(", ")])
 
     return df.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(source).cast("string").alias("source"), *[F.col(f).cast("string").alias(f) for f in fields]).mapInArrow(each, schema)
 
 
+def limits(verdicts: DataFrame) -> DataFrame:
+    """``(_source, _field, edge)``: the first cell of lengths at which a field of a source is cut; none for fields without limit."""
+    bare = verdicts.filter("verdict = 'bare' and not total").groupBy(F.col("source").alias("_source"), F.col("field_name").alias("_field"), "cell", "last").agg(F.sum("n").alias("n"))
+    cells = bare.groupBy("_source", "_field", "cell").agg(F.sum("n").alias("n"))
+    near = Window.partitionBy("_source", "_field").orderBy("cell").rangeBetween(1 - PILE, 0)
+    top = cells.withColumn("pile", F.sum("n").over(near)).groupBy("_source", "_field").agg(F.max(F.struct("pile", "cell")).alias("top"), F.sum("n").alias("n"))
+    top = top.filter(F.col("top.pile") > BARE_SHARE * F.col("n")).select(F.col("_source").alias("s"), F.col("_field").alias("f"), F.col("top.pile").alias("pile"), (F.col("top.cell") + 1 - PILE).alias("edge"))
+    # a text that always closes with the same word is not cut there
+    ends = bare.join(top, F.col("_source").eqNullSafe(F.col("s")) & (F.col("_field") == F.col("f")) & F.col("cell").between(F.col("edge"), F.col("edge") + PILE - 1))
+    ends = ends.groupBy("_source", "_field", "edge", "pile", "last").agg(F.sum("n").alias("n")).groupBy("_source", "_field", "edge", "pile").agg(F.max("n").alias("most"))
+    return ends.filter((F.col("most") <= BARE_SHARE * F.col("pile")) | (F.col("pile") == 1)).select("_source", "_field", "edge")
+
+
+def _below(verdicts: DataFrame, edges: DataFrame) -> DataFrame:
+    """``verdicts`` with ``below``: whether a value lies below the length limit of its field."""
+    out = verdicts.join(edges, F.col("source").eqNullSafe(F.col("_source")) & (F.col("field_name") == F.col("_field")), "left")
+    return out.withColumn("below", F.coalesce(F.col("cell") < F.col("edge"), F.lit(True))).drop("_source", "_field", "edge")
+
+
 def baseline(verdicts: DataFrame) -> DataFrame:
-    """For each source: its values, those judged cut and those without a terminator, added up from the batches."""
+    """For each source: its values, those judged cut, those without a terminator and those of them below the length limit, added
+    up from the batches, and whether it leaves terminators out as a rule: over all values, and surely (Wilson's lower bound)
+    below the limit, where few values of a source that cuts long texts lie."""
     part = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    n = verdicts.filter("row_id is null").groupBy("source").agg(F.sum("n").alias("n_values"), part(F.col("verdict").startswith("cut")).alias("n_marked"), part(F.col("verdict") == "bare").alias("n_bare"))
-    return n.withColumn("bare_is_usual", (F.col("n_values") >= BARE_LEAST) & (F.col("n_bare") > BARE_SHARE * F.col("n_values")))
+    bare = F.col("verdict") == "bare"
+    n = _below(verdicts.filter("total"), limits(verdicts)).groupBy("source").agg(F.sum("n").alias("n_values"), part(F.col("verdict").startswith("cut")).alias("n_marked"), part(bare).alias("n_bare"), part(F.col("below")).alias("n_below"), part(bare & F.col("below")).alias("n_bare_below"))
+    m, p, z = F.col("n_below"), F.col("n_bare_below") / F.nullif(F.col("n_below"), F.lit(0)), SURE
+    least = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    return n.withColumn("bare_is_usual", F.when(m > 0, (least > BARE_SHARE) & (F.col("n_bare") > BARE_SHARE * F.col("n_values"))).otherwise(False))
 
 
 def truncated(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:
     """``(row_id, field_name, reason)`` of the values that lost their end; rows without an identifier have no row."""
     v = cut(judged(df, row_id, source, fields))
-    usual = baseline(v).filter("bare_is_usual").select(F.coalesce("source", F.lit("")).alias("_source"))
-    bare = v.filter("row_id is not null").withColumn("_key", F.when(F.col("verdict") == "bare", F.coalesce("source", F.lit(""))))
-    return bare.join(usual, F.col("_key") == F.col("_source"), "left_anti").select("row_id", "field_name", F.col("verdict").alias("reason"))
+    usual = baseline(v).filter("bare_is_usual").select(F.col("source").alias("_usual"))
+    rows = _below(v.filter("row_id is not null and not total"), limits(v))
+    excused = (F.col("verdict") == "bare") & F.col("below") & F.col("source").eqNullSafe(F.col("_usual"))
+    return rows.join(usual, excused, "left_anti").select("row_id", "field_name", F.col("verdict").alias("reason"))
 
 
 def report(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:
     """The share of damaged values for each source."""
-    b = baseline(judged(df, row_id, source, fields))
-    damaged = F.col("n_marked") + F.when(F.col("bare_is_usual"), 0).otherwise(F.col("n_bare"))
+    b = baseline(cut(judged(df, row_id, source, fields)))
+    damaged = F.col("n_marked") + F.col("n_bare") - F.when(F.col("bare_is_usual"), F.col("n_bare_below")).otherwise(0)
     return b.select("source", "n_values", damaged.alias("n_truncated"), F.round(damaged / F.col("n_values"), 6).alias("truncated_share"))

@@ -54,6 +54,18 @@ def test_source_that_writes_no_terminators(spark):
     assert truncation.truncated(df.limit(0), "seq", "source", ["t"]).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 40])
+def test_source_that_cuts_most_values_at_a_limit(spark, rng, n):
+    text = lambda: "It was seen. " + " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(40))
+    rows = [(i, "tight", text()[:120].strip()) for i in range(n)] + [(1000 + i, "tight", "A short sentence.") for i in range(n // 4)]
+    # no terminators as a rule, and a limit on top: short values are whole, those at the limit are cut
+    rows += [(2000 + i, "both", text()[13 : 33 + 2 * i].strip()) for i in range(40)] + [(3000 + i, "both", text()[13:213].strip()) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq bigint, source string, t string")
+    assert {r.row_id for r in truncation.truncated(df, "seq", "source", ["t"]).collect()} == {*range(n), *range(3000, 3060)}
+    report = {r.source: r.n_truncated for r in truncation.report(df, "seq", "source", ["t"]).collect()}
+    assert report == {"tight": n, "both": 60}
+
+
 def test_caps_against_a_plain_sort(spark, rng):
     rows = [(i, rng.choice(["big"] * 5 + ["b", "c", None]), rng.choice([None, 1.0, 2.0, rng.random()])) for i in range(3000)]
     df = spark.createDataFrame(rows, "i bigint, g string, s double").repartition(7).withColumn("score", F.lit("x")).withColumn("id", F.lit("y")).withColumn("grp", F.lit("z"))
