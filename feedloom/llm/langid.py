@@ -6,9 +6,15 @@ sentences that the first profiles give the language of their label, so that wron
 no trace.  Everything else covers every row: each sentence is ranked and compared with every profile, sentences form
 segments, and a document holds the languages of its segments.
 
-Defined results: null and empty texts and texts without words have no language; a label is missing if it is null,
-blank or a code for unknown, whatever its writing; a language without labelled rows cannot be recognised; ties go to
-the language that comes first by name; repeated texts are judged alike; texts are read whole.
+Texts are scored once: languages of a document, the comparison with its label and the output all come from one pass
+over Arrow batches, without a shuffle of the result.
+
+Defined results: null and empty texts and texts without words have no language; neither has a sentence of which
+fewer than ``LEAST_KNOWN`` of the n-grams occur in any profile (another script), so that such a text is no case whatever
+its label names; a label is missing if it is null, blank or a code for unknown, whatever its writing; a language without
+labelled rows cannot be recognised, and one that is written in the letters of a profiled one is taken for it; sentences
+that lie equally far from two languages follow the main language of their text; ties go to the language that comes first
+by name; repeated rows are judged alike, each by itself; texts are read whole, whatever the length of their words.
 """
 
 from __future__ import annotations
@@ -37,10 +43,19 @@ UNKNOWN = ("", "und", "unknown", "xx", "zxx", "mul", "mis", "n/a", "na", "none",
 SAMPLE, PROFILE, LONGEST = 300, 600, 3
 #: Words of a sentence that is judged by itself, and of a passage that counts.
 LEAST_WORDS, PASSAGE = 6, 10
+#: A sentence of which a smaller share of the n-grams is in any profile is in none of the languages.
+LEAST_KNOWN = 0.5
+#: Texts, and letters, that are scored together.
+TEXTS, LETTERS = 250, 1_500_000
+#: The bits that number the n-grams of all profiles.
+GRAM_BITS = (len(LANGUAGES) * PROFILE).bit_length()
+#: Words whose n-grams are remembered.
+CACHED = 1 << 17
 #: By this share the distance to the document's main language must exceed that to another one.
 MARGIN = 0.06
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_BREAK = re.compile(r"<br\s*/?>|</?(?:p|div|li|h\d)[^<>]*>", re.I)
 _NOISE = re.compile(r"https?://\S+|www\.\S+|[#@]\w+|\S+@\S+")
 _WRAPPED = re.compile(r"(?<![.!?…:\s])[ \t]*\r?\n(?=[^\W\dA-ZÀ-ÞА-Я_])")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|[\n\r  ]+|\s[|•·]\s")
@@ -58,9 +73,14 @@ def sentences(text: str | None) -> list[list[str]]:
     """The words of each sentence or line, in lower case, without mark-up, links, tags and numbers."""
     if not text:
         return []
-    text = re.sub(r"<br\s*/?>|</?(?:p|div|li|h\d)[^<>]*>", "\n", text, flags=re.I)
-    text = _WRAPPED.sub(" ", text)
-    t = _NOISE.sub(" ", plain(text))
+    # a pattern runs only where what it needs occurs
+    if "<" in text:
+        text = _BREAK.sub("\n", text)
+    if "\n" in text:
+        text = _WRAPPED.sub(" ", text)
+    t = plain(text)
+    if "#" in t or "@" in t or "http" in t or "www." in t:
+        t = _NOISE.sub(" ", t)
     return [w for s in _SENTENCE.split(t) if (w := _WORD.findall(s))]
 
 
@@ -76,74 +96,108 @@ class Profiles:
         self.langs = sorted(ranked)
         names = sorted({g for r in ranked.values() for g in r})
         self.index = {g: i for i, g in enumerate(names)}
-        self.ranks = np.full((len(self.langs), len(names)), PROFILE, np.int32)
+        # an n-gram that a language does not rank lies beyond every rank: its distance is the largest one
+        self.ranks = np.full((len(self.langs), len(names)), 3 * PROFILE, np.int32)
         for k, lang in enumerate(self.langs):
             self.ranks[k, [self.index[g] for g in ranked[lang]]] = np.arange(len(ranked[lang]))
         self.lead = self.ranks.min(0, initial=PROFILE).astype(np.int64)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _ids(self, word: str) -> np.ndarray:
-        found = self.cache.get(word)
-        if found is None:
-            found = np.array([i for g in grams(word[:80]) if (i := self.index.get(g)) is not None], np.int64)
-            if len(self.cache) < 1 << 17:
-                self.cache[word] = found
-        return found
-
-    def distances(self, units: list[list[str]]) -> np.ndarray:
-        """(sentences, languages): the mean out-of-place distance of the n-grams that any profile ranks."""
-        out = np.full((len(units), len(self.langs)), float(PROFILE))
-        ids = [self._ids(w) for u in units for w in u]
-        if not ids or not len(self.index):
-            return out
-        sizes = np.array([len(x) for x in ids])
-        unit = np.repeat(np.repeat(np.arange(len(units)), [len(u) for u in units]), sizes)
-        key, n = np.unique(unit * len(self.index) + np.concatenate(ids), return_counts=True)
-        of, gram = key // len(self.index), key % len(self.index)
-        # by sentence, then the most frequent first, then the best ranked: one integer for each n-gram of a sentence
-        packed = np.sort(((of << 10 | (1023 - np.minimum(n, 1023))) << 11 | self.lead[gram]) << 16 | gram)
-        of, gram = packed >> 37, packed & 0xFFFF
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty cache: for each word where its profiled n-grams lie in one array, and how many it has of all kinds."""
+        self.words: dict[str, int] = {}
+        self.flat, self.span = np.zeros(0, np.int32), np.zeros((0, 3), np.int64)
+
+    def _codes(self, words: list[str]) -> np.ndarray:
+        if len(self.words) > CACHED:
+            self._forget()
+        known = self.words
+        if missing := set(words).difference(known):
+            flat, span, at = [self.flat], [], len(self.flat)
+            for w in missing:
+                all_ = grams(w)
+                found = [i for g in all_ if (i := self.index.get(g)) is not None]
+                known[w] = len(known)
+                span.append((at, len(found), len(all_)))
+                flat.append(np.array(found, np.int32))
+                at += len(found)
+            self.flat, self.span = np.concatenate(flat), np.concatenate([self.span, np.array(span, np.int64)])
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def distances(self, units: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(sentences, languages): the mean out-of-place distance of the n-grams that any profile ranks; and for each
+        sentence the share of its n-grams that one does."""
+        out, share = np.full((len(units), len(self.langs)), float(PROFILE)), np.zeros(len(units))
+        words = [w for u in units for w in u]
+        if not words or not self.index:
+            return out, share
+        codes = self._codes(words)
+        start, size, of_all = self.span[codes].T
+        at = np.repeat(np.arange(len(units)), [len(u) for u in units])
+        share = np.bincount(at, size, len(units)) / np.maximum(np.bincount(at, of_all, len(units)), 1)
+        ids = self.flat[np.arange(size.sum()) + np.repeat(start - (size.cumsum() - size), size)]
+        key = np.sort(np.repeat(at.astype(np.int32 if len(units) < 1 << 18 else np.int64) << GRAM_BITS, size) | ids)
+        if not len(key):
+            return out, share
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n, key = np.diff(np.r_[first, len(key)]), key[first].astype(np.int64)
+        of, gram = key >> GRAM_BITS, key & ((1 << GRAM_BITS) - 1)
+        # by sentence, then the most frequent first, then the best ranked
+        if len(units) < 1 << 20 and n.max() < 1 << 20:  # one integer for each n-gram of a sentence
+            packed = np.sort(((of << 20 | ((1 << 20) - 1 - n)) << 10 | self.lead[gram]) << GRAM_BITS | gram)
+            of, gram = packed >> (30 + GRAM_BITS), packed & ((1 << GRAM_BITS) - 1)
+        else:
+            order = np.lexsort((gram, self.lead[gram], -n, of))
+            of, gram = of[order], gram[order]
         first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         count = np.diff(np.r_[first, len(of)])
-        rank = np.arange(len(of)) - np.repeat(first, count)
+        rank = np.minimum(np.arange(len(of)) - np.repeat(first, count), 2 * PROFILE).astype(np.int32)
         here = of[first]
         for k in range(len(self.langs)):
-            r = self.ranks[k, gram]
-            far = np.where(r < PROFILE, np.minimum(np.abs(r - rank), PROFILE), PROFILE)
-            out[here, k] = np.add.reduceat(far, first) / count
-        return out
+            out[here, k] = np.add.reduceat(np.minimum(np.abs(self.ranks[k, gram] - rank), PROFILE), first) / count
+        return out, share
 
 
-def judge(profiles: Profiles, texts: list[str | None]) -> list[list[tuple[str, int, float]]]:
-    """For each text its segments ``(language, words, confidence)`` in order; neighbours of one language are one segment."""
-    units, owner = [], []
+def judged(profiles: Profiles, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """The segments of many texts in order: text, language (one more than there are for none), words, confidence, and the
+    main language of each text.  Neighbours of one language are one segment; short ones of another language are left out."""
+    units, own = [], []
     for k, t in enumerate(texts):
-        for s in sentences(t):
-            units.append(s)
-            owner.append(k)
+        found = sentences(t)
+        units += found
+        own += [k] * len(found)
+    none = len(profiles.langs)
+    if not units or not none:
+        return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0), np.full(len(texts), none))
+    own, (d, share) = np.array(own), profiles.distances(units)
+    words, row = np.array([len(u) for u in units]), np.arange(len(units))
+    best = d.argmin(1)
+    two = np.partition(d, 1, axis=1)[:, :2] if none > 1 else np.c_[d, np.full(len(d), float(PROFILE))]
+    foreign, unsure = share < LEAST_KNOWN, two[:, 0] >= two[:, 1]
+    lang, long = np.where(foreign | unsure, none, best), words >= LEAST_WORDS
+    weight = words * np.where(np.bincount(own, long, len(texts))[own] > 0, long, 1)
+    main = np.bincount(own * (none + 1) + lang, weight, len(texts) * (none + 1)).reshape(len(texts), none + 1).argmax(1)
+    to = main[own]
+    d = np.c_[d, np.full(len(d), np.inf)]
+    follows = ~long | (unsure & ~foreign) | (~foreign & (d[row, to] < d[row, lang] * (1 + MARGIN)))
+    lang = np.where(follows, to, lang)
+    other = np.where(lang == best, two[:, 1], two[:, 0])
+    sure = np.where(lang < none, np.clip(1 - np.minimum(d[row, lang], PROFILE) / np.maximum(other, 1e-9), 0, 1), 0.0)
+    first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (lang[1:] != lang[:-1])])
+    n = np.add.reduceat(words, first)
+    sure = np.add.reduceat(sure * words, first) / n
+    own, lang = own[first], lang[first]
+    keep = (lang == main[own]) | (n >= PASSAGE)
+    return own[keep], lang[keep], n[keep], sure[keep], main
+
+
+def judge(profiles: Profiles, texts: list[str | None]) -> list[list[tuple[str, int, float]]]:
+    """For each text its segments ``(language, words, confidence)`` in order."""
     out: list[list[tuple[str, int, float]]] = [[] for _ in texts]
-    if not units or not profiles.langs:
-        return out
-    d = profiles.distances(units)
-    words = np.array([len(u) for u in units])
-    own = np.array(owner)
-    for k in np.unique(own):
-        at = np.flatnonzero(own == k)
-        best, long = d[at].argmin(1), words[at] >= LEAST_WORDS
-        weight = words[at] * (long if long.any() else 1)
-        main = int(np.bincount(best, weights=weight, minlength=len(profiles.langs)).argmax())
-        segments: list[list] = []
-        for j, i in enumerate(at):
-            lang = int(best[j])
-            if lang != main and (not long[j] or d[i, main] < d[i, lang] * (1 + MARGIN)):
-                lang = main
-            others = np.delete(d[i], lang)
-            sure = 1 - min(1.0, d[i, lang] / max(others.min(), 1e-9)) if len(others) else 1.0
-            if not segments or segments[-1][0] != lang:
-                segments.append([lang, 0, 0.0])
-            segments[-1][1] += int(words[i])
-            segments[-1][2] += float(max(sure, 0.0)) * int(words[i])
-        out[k] = [(profiles.langs[s[0]], s[1], round(s[2] / s[1], 6)) for s in segments if profiles.langs[s[0]] == profiles.langs[main] or s[1] >= PASSAGE]
+    own, lang, n, sure, _ = judged(profiles, texts)
+    for o, l, k, s in zip(own.tolist(), lang.tolist(), n.tolist(), sure.tolist()):
+        if l < len(profiles.langs):
+            out[o].append((profiles.langs[l], k, round(s, 6)))
     return out
 
 
@@ -160,9 +214,9 @@ def fit(docs: DataFrame, doc_id: str, text: str, label: str, sample: int = SAMPL
                 for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     units = sentences(t)
                     if before is not None and units and lang in before.langs:
-                        best = before.distances(units).argmin(1)
+                        best = before.distances(units)[0].argmin(1)
                         units = [u for u, x in zip(units, best) if before.langs[x] == lang]
-                    seen.setdefault(lang, Counter()).update(w[:80] for u in units for w in u)
+                    seen.setdefault(lang, Counter()).update(w for u in units for w in u)
             for lang, n_words in seen.items():
                 n: Counter = Counter()
                 for w, times in n_words.items():
@@ -180,27 +234,53 @@ def fit(docs: DataFrame, doc_id: str, text: str, label: str, sample: int = SAMPL
     return ranked(ranked(None))
 
 
-def segments(docs: DataFrame, doc_id: str, text: str, profiles: Profiles) -> DataFrame:
-    """``(doc_id, segment, lang, n_words, confidence)`` of every part of every text; row-local."""
+def _scored(docs: DataFrame, doc_id: str, text: str, label: str | None, profiles: Profiles, rows, schema: str) -> DataFrame:
+    """Each text once through :func:`judged`, a bounded number of texts and letters at a time; ``rows`` makes the columns
+    after ``doc_id`` from its result: the place of the text, then one array for each."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)  # at most PROFILE n-grams of each language
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
-                rows = [(i, n, *s) for i, found in zip(part.column(0).to_pylist(), judge(shared.value, part.column(1).to_pylist())) for n, s in enumerate(found)]
-                if rows:
-                    cols = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.float64())], ["doc_id", "segment", "lang", "n_words", "confidence"])
+            texts, labels, begin, size = b.column(1).to_pylist(), b.column(2).to_pylist(), 0, 0
+            for k in range(len(texts)):
+                size += len(texts[k] or "")
+                if k + 1 == len(texts) or k + 1 - begin == TEXTS or size >= LETTERS:
+                    at, *cols = rows(shared.value, judged(shared.value, texts[begin : k + 1]), labels[begin : k + 1])
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at + begin)), *[pa.array(c, types[t]) for c, t in zip(cols, kinds[1:])]], list(names))
+                    begin, size = k + 1, 0
 
-    return spread(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")), "doc_id").mapInArrow(each, "doc_id bigint, segment int, lang string, n_words int, confidence double")
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), (label_of(F.col(label)) if label else F.lit(None).cast("string")).alias("label"))
+    return spread(docs, "doc_id").mapInArrow(each, schema)
+
+
+def segments(docs: DataFrame, doc_id: str, text: str, profiles: Profiles) -> DataFrame:
+    """``(doc_id, segment, lang, n_words, confidence)`` of every part of every text; row-local."""
+
+    def rows(p: Profiles, found: tuple, _) -> tuple:
+        own, lang, n, sure, _ = (x[found[1] < len(p.langs)] if k < 4 else x for k, x in enumerate(found))
+        first = np.searchsorted(own, own)
+        return own, np.arange(len(own)) - first, [p.langs[k] for k in lang], n, np.round(sure, 6)
+
+    return _scored(docs, doc_id, text, None, profiles, rows, "doc_id bigint, segment int, lang string, n_words int, confidence double")
 
 
 def corrected(docs: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
     """``(doc_id, lang, n_words, confidence)``: the languages of every text whose label is missing or names another
     language than its own, or that holds more than one."""
-    found = segments(docs, doc_id, text, fit(docs, doc_id, text, label)).groupBy("doc_id", "lang").agg(F.sum("n_words").cast("bigint").alias("n_words"), F.round(F.sum(F.col("confidence") * F.col("n_words")) / F.sum("n_words"), 6).alias("confidence"))
-    each = found.groupBy("doc_id").agg(F.count("*").alias("_n"), F.max_by("lang", F.struct("n_words", "lang")).alias("_main"))
-    labels = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), label_of(F.col(label)).alias("_label"))
-    cases = each.join(labels, "doc_id").filter("_label is null or _n > 1 or _label != _main").select("doc_id")
-    return found.join(cases, "doc_id", "left_semi")
+
+    def rows(p: Profiles, found: tuple, labels: list[str | None]) -> tuple:
+        own, lang, n, sure, _ = found
+        none, size = len(p.langs), (len(labels), len(p.langs) + 1)
+        words = np.bincount(own * (none + 1) + lang, n, size[0] * size[1]).reshape(size)
+        total = np.bincount(own * (none + 1) + lang, sure * n, size[0] * size[1]).reshape(size)
+        place = {x: k for k, x in enumerate(p.langs)} | {None: -2}
+        own_label, main = np.array([place.get(x, -1) for x in labels]), words.argmax(1)
+        wrong = np.where(main < none, own_label != main, own_label == -2)
+        case = wrong | ((words > 0).sum(1) > 1)
+        at, which = np.nonzero((words > 0) & case[:, None] & (np.arange(none + 1) < none))
+        return at, [p.langs[k] for k in which], words[at, which].astype(np.int64), np.round(total[at, which] / words[at, which], 6)
+
+    return _scored(docs, doc_id, text, label, fit(docs, doc_id, text, label), rows, "doc_id bigint, lang string, n_words bigint, confidence double")

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.llm import langid, leakage
@@ -77,3 +78,45 @@ def test_corrected_documents(spark, sf):
     extra = spark.createDataFrame([(10**6 + 1, "Data were gathered in a national registry between two and three years ago, covering many cycles.", "de"), (10**6 + 2, "Data were gathered in a national registry between two and three years ago, covering many cycles.", "English")], "doc_id bigint, text string, lang string")
     got = {(r.doc_id, r.lang) for r in langid.corrected(docs.select("doc_id", "text", "lang").union(extra), "doc_id", "text", "lang").filter("doc_id > 1000000").collect()}
     assert got == {(10**6 + 1, "en")}
+
+
+EN = "Secondary outcomes such as implantation and pregnancy were recorded during the first trimester of the study."
+GREEK = "Αυτή είναι μια πρόταση στα ελληνικά που δεν ανήκει σε καμία από τις γνωστές γλώσσες."
+JAPANESE = "これは 日本 語 の 文章 で あり 既知 の 言語 に は 属して いません。"
+
+
+@pytest.fixture(scope="module")
+def profiles(spark, sf):
+    return langid.fit(spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet"), "doc_id", "text", "lang")
+
+
+def test_other_scripts_have_no_language(profiles):
+    assert langid.judge(profiles, [GREEK, JAPANESE]) == [[], []]  # a batch in which no n-gram is profiled
+    assert [[s[0] for s in f] for f in langid.judge(profiles, [EN, GREEK, f"{EN} {GREEK}"])] == [["en"], [], ["en"]]
+
+
+def test_right_foreign_labels_are_no_cases(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(10**6 + k, t, l) for k, (t, l) in enumerate([(GREEK, "el"), (JAPANESE, "ja"), (GREEK, None), (GREEK, "de"), (f"{EN} {GREEK}", "en"), (EN, "el")])], "doc_id bigint, text string, lang string")
+    got = {(r.doc_id - 10**6, r.lang) for r in langid.corrected(docs.union(extra), "doc_id", "text", "lang").filter("doc_id >= 1000000").collect()}
+    assert got == {(4, "en"), (5, "en")}
+
+
+def test_whole_words_and_large_counts(profiles):
+    tail = "x" * 200 + "the" * 30
+    assert len(profiles._codes([tail])) == 1 and profiles.span[profiles.words[tail]][2] == len(langid.grams(tail))
+    one, many = profiles.distances([EN.lower().split()])[0], profiles.distances([EN.lower().split() * 2000])[0]
+    assert (one == many).all()  # counts beyond any small field keep the ranking
+
+
+def test_scored_in_one_pass(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = langid.corrected(docs, "doc_id", "text", "lang")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_split_of_a_batch_changes_nothing(spark, sf, profiles, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    whole = langid.judge(profiles, texts)
+    assert whole == [langid.judge(profiles, [t])[0] for t in texts]
