@@ -61,12 +61,16 @@ def p3_source_report(spark: SparkSession, sf: str) -> DataFrame:
     return truncation.report(load(spark, sf, "normalized_item"), "seq", "feed_url", ["summary", "content_snippet"])
 
 
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaks(load(spark, sf, "documents"), "doc_id", "text", load(spark, sf, "eval_item"), "item_id", "passage", "prompt", "answer")
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
-    return leakage.leaks(load(spark, sf, "documents"), "doc_id", "text", load(spark, sf, "eval_item"), "item_id", "passage")
+    return _leaks(spark, sf).select("doc_id", "item_id")
 
 
 def p8_items(spark: SparkSession, sf: str) -> DataFrame:
-    return leakage.item_report(p8_found(spark, sf), load(spark, sf, "documents"), load(spark, sf, "eval_item"))
+    return leakage.item_report(_leaks(spark, sf))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:

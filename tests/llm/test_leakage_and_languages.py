@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,36 @@ def test_blocks_of_items(spark, monkeypatch):
     assert leaks(spark, [ITEM], ((1, ITEM), (2, ITEM))) == {(0, 1), (0, 2)}
 
 
+def test_search_scores_every_item_like_a_plain_sum(rng):
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, weights=range(1, 61), k=rng.randrange(12, 60)))) for i in range(90)]
+    index = leakage.Items(items)
+    for _ in range(40):
+        text = rng.choice(items)[1].split()[:20] + rng.choices(vocabulary, k=10)
+        pairs = [(index.word[a], index.word[b]) for a, b in zip(text, text[1:]) if a in index.word and b in index.word]
+        where = [(a * len(index.word) + b) for a, b in pairs]
+        terms = np.array([index.named[np.searchsorted(index.name, x)] for x in where if x in index.name], np.int64)
+        score = np.zeros(len(items))
+        for t in set(terms.tolist()):
+            mine = (index.posting // len(items)) == t
+            score[index.at[mine]] += index.part[mine]
+        _, found = index.search(terms, np.zeros(len(terms), np.int64))
+        assert sorted(found.tolist()) == np.flatnonzero(score >= 1 - 1e-9).tolist()
+
+
+def test_every_place_of_a_run(spark):
+    """Runs of exactly twelve words at every place of a passage, one by one, also with a broken word in them."""
+    runs = [" ".join(w for w in re.findall(r"[^\W_]+", ITEM)[k : k + 12]) for k in range(len(re.findall(r"[^\W_]+", ITEM)) - 11)]
+    broken = [re.sub(r"\b(\w{2})(\w{2,})", "\\1-\n\\2", r, count=n) for n, r in zip([1, 2, 3, 12] * 20, runs)]
+    assert leaks(spark, runs + broken) == {(i, 1) for i in range(2 * len(runs))}
+    assert leaks(spark, [" ".join(r.split()[:11]) for r in runs]) == set()
+
+
+def test_an_index_is_built_once_in_a_worker():
+    one, again = leakage._built("a", [(1, ITEM)]), leakage._built("a", [(2, ITEM)])
+    assert one is again and leakage._built("b", [(2, ITEM)]).ids == [2]
+
+
 def test_labels(spark):
     labels = ["en", "EN-gb", "en_US", "English", "français", "deu", "xx", "und", "", " ", None, "bg", "Русский"]
     got = [r.l for r in spark.createDataFrame([(x,) for x in labels], "x string").select(langid.label_of(F.col("x")).alias("l")).collect()]

@@ -23,11 +23,12 @@ def test_query(spark, sf, name):
 def test_item_report(spark):
     from feedloom.llm import leakage
 
-    docs = spark.createDataFrame([(1, "Read it. The key was 42."), (2, "421 of them"), (3, None)], "doc_id bigint, text string")
-    items = spark.createDataFrame([(7, "read it.", "p", "42"), (8, None, None, None)], "item_id bigint, prompt string, passage string, answer string")
-    found = spark.createDataFrame([(1, 7), (2, 7), (3, 7), (1, 8)], "doc_id bigint, item_id bigint")
-    got = {r.item_id: (r.documents, r.with_answer, r.with_question) for r in leakage.item_report(found, docs, items).collect()}
-    assert got == {7: (3, 1, 1), 8: (1, 0, 0)}
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    docs = spark.createDataFrame([(1, f"Read it. {passage} The key was 42."), (2, f"{passage} 421 of them"), (3, None), (4, f"{passage} nothing")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "read it.", passage, "42"), (8, None, passage, None), (9, "x", None, "y")], "item_id bigint, prompt string, passage string, answer string")
+    found = leakage.leaks(docs, "doc_id", "text", items, "item_id", "passage", "prompt", "answer")
+    got = {r.item_id: (r.documents, r.with_answer, r.with_question) for r in leakage.item_report(found).collect()}
+    assert got == {7: (3, 1, 1), 8: (3, 0, 0)}
 
 
 def test_report_adds_up(spark, sf):
