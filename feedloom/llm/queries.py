@@ -21,15 +21,18 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return _near(spark, sf).groups().withColumnRenamed("id", "seq")
 
 
-def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    names = load(spark, sf, "contributor").select("name").union(load(spark, sf, "feed_config").select("name")).distinct().limit(20_001).collect()
-    if len(names) > 20_000:
-        raise ValueError("more than 20,000 names of contributors and feeds")
-    known = {batchdedup.name_of(r.name) for r in names if r.name}
+def batch_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, set[str]]:
+    """What has been accepted, the new items, and the names of the places that carry articles (a dimension: configured)."""
+    places = load(spark, sf, "contributor").select("name").union(load(spark, sf, "feed_config").select("name")).distinct()
+    known = {batchdedup.name_of(r.name) for r in places.toLocalIterator() if r.name}
     old = batchdedup.rows_of(load(spark, sf, "history"), "history", "id", "dedupe_key", "doi", "pmid", "content_fingerprint", "canonical_url", "title")
     old = old.unionByName(batchdedup.rows_of(load(spark, sf, "selection_history"), "selection_history", "id", None, "doi", "pmid", "fingerprint", "url", "title"))
     new = batchdedup.rows_of(load(spark, sf, "incoming_item"), "incoming_item", "item_id", "dedupe_key", "doi", "pmid", "content_fingerprint", "canonical_url", "title")
-    return batchdedup.repeats(old, new, known)
+    return old, new, known
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return batchdedup.repeats(*batch_tables(spark, sf))
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
