@@ -5,6 +5,9 @@ the tasks are merged in two levels, salted first, so that a contributor with a t
 ``cap`` pairs from each task and no task merges the heaps of every other one alone.  Full records are then
 matched with the kept identifiers, which are unique and thus never skewed.
 
+Names are resolved by joins (exact key, host, abbreviated words, initials, misspellings by the segments that two close
+names share), so that neither the names nor the contributors need fit into one task.
+
 Defined results: null scores are lowest; ties keep the smaller id; rows of no known contributor are never
 capped; a null run is a run of its own; an empty table gives no rows.
 """
@@ -16,14 +19,19 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import host_of, small
+from feedloom.llm.common import MAX_DIMENSION, cut, host_of, small
+
+#: Groups whose heaps a task holds at once; beyond that it passes them on and begins anew.
+HELD = 100_000
+#: The most misspellings of a name.
+MISSPELT = 2
 
 _PAIRS = T.StructType([T.StructField("grp", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("id", T.LongType())])
 
@@ -31,6 +39,14 @@ _PAIRS = T.StructType([T.StructField("grp", T.StringType()), T.StructField("scor
 def _heaps(cap: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: dict[str, list] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = [(g, s, -i) for g, heap in heaps.items() for s, i in heap]
+            heaps.clear()
+            for k in range(0, len(rows), 10_000):
+                g, s, i = zip(*rows[k : k + 10_000])
+                yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(s, pa.float64()), pa.array(i, pa.int64())], ["grp", "score", "id"])
+
         for b in batches:
             for g, s, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 pair = (float("-inf") if s is None or s != s else s, -i)
@@ -39,10 +55,9 @@ def _heaps(cap: int):
                     heapq.heappush(heap, pair)
                 elif pair > heap[0]:
                     heapq.heapreplace(heap, pair)
-        rows = [(g, s, -i) for g, heap in heaps.items() for s, i in heap]
-        for k in range(0, len(rows), 10_000):
-            g, s, i = zip(*rows[k : k + 10_000])
-            yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(s, pa.float64()), pa.array(i, pa.int64())], ["grp", "score", "id"])
+            if len(heaps) > HELD:
+                yield from out()
+        yield from out()
 
     return keep
 
@@ -82,76 +97,96 @@ def _words(name: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", "".join(c for c in s.casefold() if not unicodedata.combining(c)))
 
 
-def _distance(a: str, b: str, most: int) -> int:
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-class Contributors:
-    """Names to contributors: exact key, host, abbreviated words, initials that fit only one, at most two misspellings."""
-
-    def __init__(self, rows: list[tuple[int, str, str]], aliases: list[tuple[int, str]] = ()):
-        self.keys: dict[str, int] = {}
-        self.hosts = {d.lower(): i for i, _, d in rows if d}
-        for i, n, _ in rows:
-            self.keys.setdefault(name_key(n), i)
-        for i, n in aliases:
-            self.keys.setdefault(name_key(n), i)
-        self.words = [(i, _words(n)) for i, n, _ in rows]
-        initials: dict[str, set[int]] = {}
-        for i, w in self.words:
-            initials.setdefault("".join(x[0] for x in w), set()).add(i)
-        self.initials = {k: next(iter(v)) for k, v in initials.items() if len(v) == 1}
-
-    def find(self, name: str | None) -> int | None:
-        key = name_key(name)
-        if not key:
-            return None
-        if key in self.keys:
-            return self.keys[key]
-        host = re.sub(r"^(?:https?://)?", "", name.strip().lower()).split("/")[0]
-        for d, i in self.hosts.items():
-            if host == d or host.endswith("." + d):
-                return i
-        short = _words(name)
-        fits = {i for i, w in self.words if len(w) == len(short) > 1 and all(a.startswith(b) for a, b in zip(w, short))}
-        if len(fits) == 1:
-            return fits.pop()
-        if key in self.initials:
-            return self.initials[key]
-        near = sorted((d, i) for k, i in self.keys.items() if (d := _distance(key, k, 2)) <= 2)
-        return near[0][1] if near and (len(near) == 1 or near[0][0] < near[1][0] or near[0][1] == near[1][1]) else None
-
-
-def with_contributor(rows: DataFrame, contributor: DataFrame, feeds: DataFrame, url: str, name: str) -> DataFrame:
-    """Add ``contributor_id``: the row whose domain holds the host of ``url``, otherwise the one that ``name`` names.
-
-    Hosts and names are resolved once each: their distinct values are counted map-side and joined back.
-    """
-    known = contributor.filter("domain is not null").select(F.lower("domain").alias("_domain"), F.col("contributor_id").cast("bigint").alias("_by_host"))
-    rows = rows.withColumn("_host", F.regexp_replace(host_of(F.col(url)), r"\.$", ""))
-    labels, n = F.split("_host", r"\."), F.size(F.split("_host", r"\."))
-    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    hosts = rows.select("_host").distinct().filter("_host != ''").select("_host", F.explode(suffixes).alias("_domain"))
-    hosts = hosts.join(small(known), "_domain").groupBy("_host").agg(F.max_by("_by_host", F.length("_domain")).alias("_by_host"))
-    rows = rows.join(hosts, "_host", "left")
-    # the names of contributors are a dimension: bounded, or resolved by their exact key alone
-    people = contributor.select(F.col("contributor_id").cast("bigint"), "name", "domain").filter("name is not null").limit(20_001).collect()
-    aliases = feeds.filter("contributor_id is not null and name is not null").select(F.col("contributor_id").cast("bigint"), "name").limit(20_001).collect()
-    if max(len(people), len(aliases)) > 20_000:
-        raise ValueError("more than 20,000 contributors or feeds")
-    book = Contributors([tuple(r) for r in people], [tuple(r) for r in aliases])
-
-    @F.pandas_udf(T.LongType())
-    def named(s: pd.Series) -> pd.Series:
-        return s.map(book.find).astype("Int64")
-
-    names = rows.filter("_by_host is null").select(F.col(name).alias("_name")).filter("_name is not null").distinct().withColumn("_by_name", named("_name"))
-    rows = rows.join(names.filter("_by_name is not null"), F.when(F.col("_by_host").isNull(), F.col(name)) == F.col("_name"), "left")
-    return rows.withColumn("contributor_id", F.coalesce("_by_host", "_by_name")).drop("_host", "_by_host", "_name", "_by_name")
+def _features(df: DataFrame) -> DataFrame:
+    """``df (id, name)`` with what names are compared by: ``key``, ``host``, ``short`` (the words), ``shape`` (their number and
+    first letters) and ``initials``."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = [n or "" for n in b.column(1).to_pylist()]
+            words = [_words(n) for n in names]
+            first = ["".join(x[0] for x in w) for w in words]
+            hosts = [re.sub(r"^(?:https?://)?", "", n.strip().lower()).split("/")[0] for n in names]
+            cols = [[name_key(n) for n in names], hosts, first, [f"{len(w)} {i}" if len(w) > 1 else None for w, i in zip(words, first)]]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, pa.string()) for c in cols], pa.array(words, pa.list_(pa.string()))], ["id", "name", "key", "host", "initials", "shape", "short"])
+
+    return df.mapInArrow(each, "id bigint, name string, key string, host string, initials string, shape string, short array<string>")
+
+
+def _segments(key: Column) -> Column:
+    """``(n, part, text)`` of a key's equal parts, one more than misspellings: a close name holds one of them, near its place."""
+    n = F.length(key)
+    at = lambda i: F.floor(n * i / (MISSPELT + 1)).cast("int")
+    return F.array(*[F.struct(n.alias("n"), F.lit(i).alias("part"), F.substring(key, at(i) + 1, at(i + 1) - at(i)).alias("text")) for i in range(MISSPELT + 1)])
+
+
+def _places(key: Column) -> Column:
+    """The parts that keys within ``MISSPELT`` edits can share with ``key``: of each length and part, the texts near its place."""
+    out = []
+    for dn in range(-MISSPELT, MISSPELT + 1):
+        n = F.length(key) + dn
+        for i in range(MISSPELT + 1):
+            start, stop = F.floor(n * i / (MISSPELT + 1)).cast("int"), F.floor(n * (i + 1) / (MISSPELT + 1)).cast("int")
+            for shift in range(-MISSPELT, MISSPELT + 1):
+                out.append(F.when((start + shift >= 0) & (stop + shift <= F.length(key)) & (n > 0), F.struct(n.alias("n"), F.lit(i).alias("part"), F.substring(key, start + shift + 1, stop - start).alias("text"))))
+    return F.array_distinct(F.array_compact(F.array(*out)))
+
+
+def _suffixes(host: Column) -> Column:
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def _only(hits: DataFrame) -> DataFrame:
+    """``(name, by)`` of the names that fit one contributor only."""
+    return hits.groupBy("name").agg(F.min("by").alias("by"), F.max("by").alias("_top")).filter("by = _top").drop("_top")
+
+
+def resolved(names: DataFrame, contributor: DataFrame, feeds: DataFrame) -> DataFrame:
+    """``(name, by)``: the contributor that each name means, by the first rule that finds one: the same letters and digits, a
+    host, abbreviated words or initials that fit one contributor only, at most two misspellings of its or its feeds' names.
+    Names that no rule resolves have no row."""
+    known = contributor.select(F.col("contributor_id").cast("bigint").alias("id"), "name").filter("name is not null")
+    alias = feeds.filter("contributor_id is not null and name is not null").select(F.col("contributor_id").cast("bigint").alias("id"), "name")
+    people, others = cut(_features(known)), _features(alias)
+    keys = cut(people.select("key", "id", F.lit(0).alias("rank")).union(others.select("key", "id", F.lit(1))).filter("key != ''").groupBy("key").agg(F.min(F.struct("rank", "id")).alias("x")).select("key", F.col("x.id").alias("by")))
+    asked = cut(_features(names.select(F.lit(0).cast("bigint"), "name").distinct()).filter("key != ''").drop("id"))
+    domains = contributor.filter("domain is not null").select(F.lower("domain").alias("domain"), F.col("contributor_id").cast("bigint").alias("by"))
+    hint = F.broadcast if keys.count() <= MAX_DIMENSION else (lambda df: df)  # the keys number the contributors and their aliases
+    initials = _only(people.select(F.col("initials").alias("name"), F.col("id").alias("by"))).withColumnRenamed("name", "key")
+    rules = [
+        asked.join(hint(keys), "key").select("name", "by"),
+        asked.select("name", F.explode(_suffixes(F.col("host"))).alias("domain")).join(hint(domains), "domain").groupBy("name").agg(F.max_by("by", F.length("domain")).alias("by")),
+        _only(asked.join(hint(people.select("shape", F.col("short").alias("full"), F.col("id").alias("by"))), "shape").filter(F.forall(F.zip_with("full", "short", lambda a, b: a.startswith(b)), lambda x: x))),
+        asked.join(hint(initials), "key").select("name", "by"),
+    ]
+
+    def near(df: DataFrame) -> DataFrame:
+        parts = keys.select(F.col("key").alias("other"), "by", F.explode(_segments(F.col("key"))).alias("s")).filter("s.text != ''")
+        pairs = df.select("name", "key", F.explode(_places(F.col("key"))).alias("s")).join(hint(parts), "s").select("name", "key", "other", "by").distinct()
+        # keys shorter than their parts share none: they are few, and every name of their length is compared
+        short = keys.filter(F.length("key") <= MISSPELT).select(F.col("key").alias("other"), "by")
+        pairs = pairs.union(df.filter(F.length("key") <= 2 * MISSPELT).select("name", "key", F.explode(F.sequence(F.lit(1), F.lit(MISSPELT))).alias("n")).join(hint(short.withColumn("n", F.length("other"))), "n").select("name", "key", "other", "by"))
+        hits = pairs.withColumn("d", F.levenshtein("key", "other")).filter(F.col("d") <= MISSPELT)
+        best = hits.groupBy("name").agg(F.min("d").alias("least"))
+        return _only(hits.join(best, "name").filter("d = least"))
+
+    hits = reduce(DataFrame.union, [r.select("name", "by", F.lit(k).alias("rule")) for k, r in enumerate([*rules, near(asked)])])
+    return cut(hits.groupBy("name").agg(F.min_by("by", "rule").alias("by")))
+
+
+def with_contributor(tables: list[tuple[DataFrame, str, str]], contributor: DataFrame, feeds: DataFrame) -> list[DataFrame]:
+    """Add ``contributor_id`` to each of ``tables`` (rows, URL, name): the contributor whose domain holds the host of the
+    URL, otherwise the one that the name means.  Hosts and names are resolved once each, for all tables together: their
+    distinct values are counted map-side and joined back."""
+    known = small(contributor.filter("domain is not null").select(F.lower("domain").alias("_domain"), F.col("contributor_id").cast("bigint").alias("_by_host")))
+    out = []
+    for rows, url, name in tables:
+        rows = rows.withColumn("_host", F.regexp_replace(host_of(F.col(url)), r"\.$", ""))
+        hosts = rows.select("_host").distinct().filter("_host != ''").select("_host", F.explode(_suffixes(F.col("_host"))).alias("_domain"))
+        hosts = hosts.join(known, "_domain").groupBy("_host").agg(F.max_by("_by_host", F.length("_domain")).alias("_by_host"))
+        rows = rows.join(hosts, "_host", "left").drop("_host")
+        out.append(rows.withColumn("_asks", F.when(F.col("_by_host").isNull(), F.col(name))))
+    names = reduce(DataFrame.union, [rows.select(F.col("_asks").alias("name")).filter("name is not null").distinct() for rows in out]).distinct()
+    names = resolved(names, contributor, feeds).select(F.col("name").alias("_asks"), F.col("by").alias("_by_name"))
+    return [rows.join(names, "_asks", "left").withColumn("contributor_id", F.coalesce("_by_host", "_by_name")).drop("_asks", "_by_host", "_by_name") for rows in out]

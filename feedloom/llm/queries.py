@@ -37,13 +37,12 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """The rows beyond 10 of each run and contributor in normalized_item, and beyond 3 in selection_history."""
-    people, feeds = load(spark, sf, "contributor"), load(spark, sf, "feed_config")
+    tables = [("normalized_item", "seq", "canonical_url", "source_name", "quality_score", 10), ("selection_history", "id", "url", "source", "impact_score", 3)]
+    rows = [(load(spark, sf, table).select(row_id, url, name, score, "run_id"), url, name) for table, row_id, url, name, score, _ in tables]
     out = []
-    for table, row_id, url, name, score, cap in (("normalized_item", "seq", "canonical_url", "source_name", "quality_score", 10), ("selection_history", "id", "url", "source", "impact_score", 3)):
-        rows = load(spark, sf, table).select(row_id, url, name, score, "run_id")
-        rows = caps.with_contributor(rows, people, feeds, url, name)
-        rows = rows.withColumn("grp", F.when(F.col("contributor_id").isNotNull(), F.concat_ws("|", F.col("contributor_id").cast("string"), F.when(F.col("run_id").isNull(), "n").otherwise(F.concat(F.lit("r"), "run_id")))))
-        out.append(caps.beyond_cap(rows, "grp", score, row_id, cap).select(F.lit(table).alias("source_table"), F.col(row_id).alias("row_id")))
+    for df, (table, row_id, _, _, score, cap) in zip(caps.with_contributor(rows, load(spark, sf, "contributor"), load(spark, sf, "feed_config")), tables):
+        df = df.withColumn("grp", F.when(F.col("contributor_id").isNotNull(), F.concat_ws("|", F.col("contributor_id").cast("string"), F.when(F.col("run_id").isNull(), "n").otherwise(F.concat(F.lit("r"), "run_id")))))
+        out.append(caps.beyond_cap(df, "grp", score, row_id, cap).select(F.lit(table).alias("source_table"), F.col(row_id).alias("row_id")))
     return out[0].unionByName(out[1])
 
 
