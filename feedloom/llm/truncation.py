@@ -1,10 +1,12 @@
 """Text that lost its end: a stack automaton over quotes, brackets, mark-up, entities and bytes, and a baseline for each source.
 
-One pass over the structural characters of a value keeps a stack of what is open.  The end of the value then tells:
-a broken multibyte sequence, entity or tag is a cut by itself; a sign of omission is one if what precedes it is not
-a whole sentence; and a value without a terminator is one unless it closes with a label, a link or a number, or its
-source leaves terminators out as a rule: the share of such values of each source is counted over all rows that lie below
-the length limit of their field, and only values below it are excused.  A limit shows in lengths that pile up.
+One pass of the automaton over the structural characters of a value keeps a stack of what is open, and comes first.  What
+it is in the middle of at the end is a cut by itself: a multibyte sequence, an entity, an escape, a tag, and a quote or
+bracket that the last sentence opened, whether or not a full stop follows, unless its closing part stands elsewhere.
+Brackets that an earlier sentence left open are a slip of its writer.  Then a sign of omission is a cut if what precedes it is not a whole sentence; and a value without a
+terminator is one unless it closes with a label, a link or a number, or its source leaves terminators out as a rule: the
+share of such values of each source is counted over all rows that lie below the length limit of their field, and only
+values below it are excused.  A limit shows in lengths that pile up.
 
 Defined results: null, blank and placeholder values are no cases and do not count as values of a source; repeated
 rows are judged alike; texts are read whole, however long.
@@ -25,10 +27,10 @@ from feedloom.llm.common import cut
 
 # What feeds write where a text is missing.
 PLACEHOLDERS = (
-    "n/a na null none no summary no abstract|abstract not available|summary not available|not available|summary to follow|"
-    "abstract to follow|see full text|click here to view the abstract|tba|tbd|n.d|pending|unknown|no description"
-)
-_MISSING = {"".join(c for c in x if c.isalnum()) for x in [*PLACEHOLDERS.split("|")[0].split()[:4], "nosummary", "noabstract", *PLACEHOLDERS.split("|")[1:]]}
+    "n/a", "na", "null", "none", "no summary", "no abstract", "abstract not available", "summary not available", "not available", "summary to follow",
+    "abstract to follow", "see full text", "click here to view the abstract", "tba", "tbd", "n.d", "pending", "unknown", "no description",
+)
+_MISSING = {"".join(c for c in x if c.isalnum()) for x in PLACEHOLDERS}
 
 #: A source that surely (so many standard deviations) leaves the terminator out of more than this share of its values below
 #: the length limit closes texts without one.
@@ -38,15 +40,24 @@ BARE_SHARE, SURE = 0.5, 3.0
 CELL, PILE = 8, 3
 
 _OMITTED = re.compile(r"(?:\s*(?:…|\.\s?\.\s?\.|&hellip;|\[\s*(?:…|\.\.\.|more)\s*\]|\((?:continued|more)\)|\b(?:read more|continue reading)\b\W*))+\s*[»›]?\s*$", re.I)
-_BROKEN = re.compile(r"(?:�+|[ÂÃ]|â(?:€.?)?)$")
-_ENTITY = re.compile(r"&(?:#\d*|#x[0-9a-f]*|[a-z]{1,8})$", re.I)
-_TAG = re.compile(r"<(?:/?[a-z][^<>]*|!--(?:(?!-->).)*|/)?$", re.I | re.S)
 _CLOSING = re.compile(r"(?:\s|</[a-z][\w-]*\s*>|<br\s*/?>)+$", re.I)
 _LABEL = re.compile(r"(?:^(?=keywords|key words|funding|trial registration|conflict)|[.!?:…)\]»”\"'>]\s+|\n\s*)[^\W\d_][\w’'-]*(?: [\w’'-]+){0,2}:\s+\S[^.!?]*$", re.I)
 _LINK = re.compile(r"(?:https?://|www\.)[\w-]+(?:\.[\w-]+)+(?:[/?#]\S*)?$", re.I)
 _FIGURE = re.compile(r"(?:^|[.!?…)\]»”>]\s+)[\W\d_]*\d[\W\d_]*$")
-_STRUCTURE = re.compile(r"[()\[\]{}«»“”<>]|</?[A-Za-z][^<>]*>")
+#: What the automaton reads: complete tags, and what opens and closes.
+_STRUCTURE = re.compile(r"[()\[\]{}«»“”\"]|</?[A-Za-z][^<>]*>")
+#: Its states in which a value may end: within bytes, a tag or comment, an entity, an escape.
+_UNFINISHED = (
+    ("bytes", re.compile(r"(?:�+|[ÂÃ]|â(?:€.?)?)$")),
+    ("markup", re.compile(r"<(?:/?[a-z][^<>]*|!--(?:(?!-->).)*|/)?$", re.I | re.S)),
+    ("entity", re.compile(r"&(?:#\d*|#x[0-9a-f]*|[a-z]{1,8})$", re.I)),
+    ("escape", re.compile(r"(?:\\(?:u[0-9a-f]{0,3}|x[0-9a-f]?)?|(?<=%[0-9a-f]{2})%[0-9a-f]?)$", re.I)),
+)
+_STOP = re.compile(r"[.!?。؟][\"'”’»)\]]*\s+")
 _PARTNER = {")": "(", "]": "[", "}": "{", "»": "«", "”": "“"}
+_VOID = ("br", "hr", "img", "input", "meta", "wbr")
+# Fixed value: tags whose end may be left out in HTML.
+_OPTIONAL = ("p", "li", "dt", "dd", "td", "th", "tr", "option", "tbody", "thead")
 _ENDS = ".!?。؟"
 
 
@@ -56,26 +67,51 @@ def is_missing(text: str | None) -> bool:
     return not t or (len(t) < 60 and "".join(c for c in t.casefold() if c.isalnum()) in _MISSING | {""})
 
 
-def open_at_end(text: str) -> list[str]:
-    """What the automaton's stack holds at the end of a text; unmatched closers are ignored."""
-    stack: list[str] = []
+def scan(text: str) -> tuple[str | None, list[tuple[str, int]], Counter]:
+    """What the automaton is in the middle of at the end of a text, what its stack holds with the places, and how many closers
+    found nothing to close, by what they would have closed; a quote after a digit (inches) opens nothing."""
+    unfinished = next((name for name, state in _UNFINISHED if state.search(text, max(0, text.rfind("<")) if name == "markup" else max(0, len(text) - 12))), None)
+    stack: list[tuple[str, int]] = []
+    spare: Counter = Counter()
+
+    def close(x: str) -> bool:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] == x:
+                del stack[k:]
+                return True
+        return False
+
     for m in _STRUCTURE.finditer(text):
-        x = m.group()
-        if x in "([{«“":
-            stack.append(x)
+        x, at = m.group(), m.start()
+        if x == '"':
+            if not close(x) and not text[at - 1 : at].isdigit():
+                stack.append((x, at))
         elif x in _PARTNER:
-            if _PARTNER[x] in stack:
-                while stack.pop() != _PARTNER[x]:
-                    pass
-        elif x[0] == "<" and len(x) > 1 and not x.endswith("/>"):
+            if not close(_PARTNER[x]):
+                spare[_PARTNER[x]] += 1
+        elif len(x) == 1:
+            stack.append((x, at))
+        else:
             name = re.match(r"</?([A-Za-z][\w-]*)", x).group(1).lower()
-            if x[1] != "/":
-                if name not in ("br", "hr", "img", "input", "meta", "wbr"):
-                    stack.append("<" + name)
-            elif "<" + name in stack:
-                while stack.pop() != "<" + name:
-                    pass
-    return stack
+            if x[1] == "/":
+                close("<" + name)
+            elif name not in _VOID and not x.endswith("/>"):
+                stack.append(("<" + name, at))
+    return unfinished, stack, spare
+
+
+def _left_open(text: str, stack: list[tuple[str, int]], spare: Counter) -> bool:
+    """Whether the last sentence opened something that is closed nowhere."""
+    if not stack:
+        return False
+    last = max((m.end() for m in _STOP.finditer(text)), default=0)
+    opened = Counter(x for x, at in stack if at >= last and x[1:] not in _OPTIONAL)
+    return any(n > spare[x] for x, n in opened.items())
+
+
+def open_at_end(text: str) -> list[str]:
+    """What the automaton's stack holds at the end of a text."""
+    return [x for x, _ in scan(text)[1]]
 
 
 def verdict(text: str | None) -> str:
@@ -83,12 +119,11 @@ def verdict(text: str | None) -> str:
     if is_missing(text):
         return "missing"
     t = text.strip()
-    if _BROKEN.search(t):
-        return "cut:bytes"
-    if _TAG.search(t):
-        return "cut:markup"
-    if _ENTITY.search(t):
-        return "cut:entity"
+    unfinished, stack, spare = scan(t)
+    if unfinished:
+        return "cut:" + unfinished
+    if _left_open(t, stack, spare):
+        return "cut:open"
     t = _CLOSING.sub("", t)
     rest = _OMITTED.sub("", t)
     if rest != t:
@@ -97,13 +132,11 @@ def verdict(text: str | None) -> str:
     core = t.rstrip("\"'”’»)] ")
     if core[-1:] in tuple(_ENDS) or not core:
         return "whole"
-    if t[-1] in ")]»”" and t[-1] in _PARTNER and not re.search(r"[^\W\d_]", t[t.rfind(_PARTNER[t[-1]]) + 1 :] if _PARTNER[t[-1]] in t else "x"):
+    if t[-1] in ")]»”" and not re.search(r"[^\W\d_]", t[t.rfind(_PARTNER[t[-1]]) + 1 :] if _PARTNER[t[-1]] in t else "x"):
         return "whole"
     if _LABEL.search(t) or _LINK.search(t) or _FIGURE.search(t):
         return "whole"
-    if open_at_end(t):
-        return "cut:open"
-    return "bare"
+    return "cut:open" if stack else "bare"
 
 
 def judged(df: DataFrame, row_id: str, source: str, fields: list[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Truncation by structure and baseline, caps against a plain sort, encoding against the libraries."""
 
+from collections import Counter
 import os
 
 import pytest
@@ -176,3 +177,23 @@ def test_encoding_of_rows(spark, sf):
     ids = Q.p7_ids(spark, sf)
     assert {r.doc_id: r.ids for r in ids.collect()} == {i: library().encode_ordinary(t or "") for i, t in docs.items()}
     assert {r.doc_id: r.text for r in bpe.decode(ids, "doc_id", "ids").collect()} == {i: t or "" for i, t in docs.items()}
+
+
+OPEN = ['He said "the trial was stopped early.', "The rate rose (from 4 to 5 per cent.", "They wrote “it is not over.", "One of them [the second.", "It <b>was seen."]
+HALF = [r"The caf\u00", r"The caf\u", "The caf%C3%A", "Two &am", "See <a href='x", "It was caf�"]
+WHOLE = ['He said "the trial was stopped early."', "The 5\" needle was used.", "An earlier (slip of the pen. The rest is whole.", "2013), as they wrote. The others agreed (Voss and Lowe.", "<p>One paragraph.<p>Another one.", "Costs rose by 5%.", "Fish &amp; chips."]
+
+
+def test_the_automaton_decides(monkeypatch):
+    assert [truncation.verdict(t) for t in OPEN] == ["cut:open"] * len(OPEN)
+    assert [truncation.verdict(t) for t in HALF] == ["cut:escape", "cut:escape", "cut:escape", "cut:entity", "cut:markup", "cut:bytes"]
+    assert [truncation.verdict(t) for t in WHOLE] == ["whole"] * len(WHOLE)
+    monkeypatch.setattr(truncation, "scan", lambda t: (None, [], Counter()))  # without it none of these is told from the others
+    assert not any(truncation.verdict(t).startswith("cut") for t in OPEN + HALF)
+
+
+def test_broken_escapes_are_cut_in_every_source(spark):
+    """A source that leaves terminators out does not excuse a value that ends within an escape."""
+    rows = [(i, "s", f"A note without a stop {'x' * i}") for i in range(60)] + [(100 + k, "s", t) for k, t in enumerate(HALF)]
+    df = spark.createDataFrame(rows, "seq bigint, source string, t string")
+    assert {r.row_id for r in truncation.truncated(df, "seq", "source", ["t"]).collect()} == {100 + k for k in range(len(HALF))}
