@@ -111,3 +111,35 @@ def test_copied_votes_count_less(spark):
 @pytest.mark.parametrize("name, person", [("Ann B. Lee", ("lee", "ann", True)), ("A. Lee", ("lee", "a", False)), ("Lee, Ann", ("lee", "ann", True)), ("et al.", None), ("Staff", None), ("", None)])
 def test_person(name, person):
     assert survivor._person(name) == person
+
+
+def copied_dois():
+    """Sources a, d, e are independent; c copies b, false values too.  In the last group b and c stand against a."""
+    rows, seq = [], 10
+    for i in range(24):
+        true = f"10.1234/true{i}"
+        said = {"b": f"10.1234/false{i}" if i < 7 else true, "a": f"10.1234/slip{i}" if i >= 22 else true, "d": true, "e": true}
+        said["c"] = said["b"]
+        for src in "bcade":
+            seq += 1
+            rows.append((seq, src, f"k{i}", said[src], "A text.", None, None, None))
+    return [(1, "b", "last", "10.1234/wrong", "A text.", None, None, None), (2, "c", "last", "10.1234/wrong", "A text.", None, None, None), (3, "a", "last", "10.1234/right", "A text.", None, None, None), *rows]
+
+
+def test_the_posterior_decides_the_identifier(spark, monkeypatch):
+    rows = copied_dois()
+    assert found(spark, rows)[1][0] == "10.1234/right"
+    independent = survivor.dependence
+    monkeypatch.setattr(survivor, "dependence", lambda judged, accuracy: independent(judged, accuracy).withColumn("copies", F.lit(0.0)))
+    assert found(spark, rows)[1][0] == "10.1234/wrong"  # two votes against one, if nobody copied
+    monkeypatch.setattr(survivor, "fuse", lambda claims: spark.createDataFrame([], "field string, grp string, value string, votes double"))
+    assert found(spark, rows)[1][0] == "10.1234/wrong"  # the smallest row, without any votes
+
+
+def test_dependence_is_estimated_between_pairs(spark):
+    rows = copied_dois()
+    claims = spark.createDataFrame([("doi", r[2], r[3], r[1], r[0], True) for r in rows], "field string, grp string, value string, src string, row bigint, possible boolean")
+    order = survivor.Window.partitionBy("field", "grp", "value").orderBy("row", "src")
+    judged = claims.withColumn("origin", F.first("src").over(order)).withColumn("before", F.lag("src").over(order)).withColumn("ok", F.col("value").startswith("10.1234/true"))
+    copies = {(r.src, r.other): r.copies for r in survivor.dependence(judged, survivor._accuracy(judged)).collect()}
+    assert copies["c", "b"] > 0.9 > copies["d", "a"] and copies["e", "d"] < 0.9
