@@ -104,18 +104,18 @@ def people(names: list[str | None] | None) -> tuple[int, int, str]:
 
 
 def assess(df: DataFrame) -> DataFrame:
-    """``(row, key, doi, src, at, whole, text, persons, full, list)``: what the fields of each record are worth.  ``whole`` tells
+    """``(row, grp, group_seq, doi, src, at, whole, text, persons, full, list)``: what the fields of each record are worth.  ``whole`` tells
     a complete summary, ``text`` is a hash of the summary (null if blank), ``persons`` and ``full`` count the authors."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(5).to_pylist()
+            texts = b.column(6).to_pylist()
             whole = [verdict(t) == "whole" and not _NOTICE.search(t) for t in texts]
             marks = [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() if (x := (t or "").strip()) else None for t in texts]
-            persons, full, list_ = zip(*map(people, b.column(6).to_pylist())) if b.num_rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(whole, pa.bool_()), pa.array(marks, pa.string()), pa.array(persons, pa.int32()), pa.array(full, pa.int32()), pa.array(list_, pa.string())], ["row", "key", "doi", "src", "at", "whole", "text", "persons", "full", "list"])
+            persons, full, list_ = zip(*map(people, b.column(7).to_pylist())) if b.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(whole, pa.bool_()), pa.array(marks, pa.string()), pa.array(persons, pa.int32()), pa.array(full, pa.int32()), pa.array(list_, pa.string())], ["row", "grp", "group_seq", "doi", "src", "at", "whole", "text", "persons", "full", "list"])
 
-    return df.mapInArrow(each, "row bigint, key string, doi string, src string, at bigint, whole boolean, text string, persons int, full int, list string")
+    return df.mapInArrow(each, "row bigint, grp string, group_seq bigint, doi string, src string, at bigint, whole boolean, text string, persons int, full int, list string")
 
 
 def _odds(p: Column) -> Column:
@@ -167,14 +167,17 @@ def fuse(claims: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def survivors(items: DataFrame, feeds: DataFrame) -> DataFrame:
-    """``(group_seq, doi, summary_seq, authors_seq)`` of every article with two or more records.  Texts are read once."""
+    """``(group_seq, doi, summary_seq, authors_seq)`` of every article with two or more records.  Texts are read once, of these
+    records only."""
     f = feeds.filter("url is not null").groupBy(F.col("url").alias("_url")).agg(F.min_by("tz_name", "feed_id").alias("_tz"), F.min_by("date_order", "feed_id").alias("_order"))
-    df = items.select("seq", "feed_url", "dedupe_key", "doi", "summary", "authors", "updated_at", "published_at").join(small(f), F.col("feed_url") == F.col("_url"), "left")
+    keys = items.select(F.col("seq").cast("bigint").alias("row"), key_of(F.col("dedupe_key")).alias("key"), bare_doi(F.col("doi")).alias("doi"))
+    grouped = group_records(cut(keys), "row", "key", "doi").select("row", F.col("_grp").alias("grp"), "doi")
+    groups = grouped.groupBy("grp").agg(F.min("row").alias("group_seq"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    members = cut(grouped.join(groups, "grp"))
+    # only records of groups are read as texts; whether they are few enough to be broadcast, Spark decides at run time
+    df = items.select("seq", "feed_url", "summary", "authors", "updated_at", "published_at").join(members, F.col("seq") == F.col("row")).join(small(f), F.col("feed_url") == F.col("_url"), "left")
     df = to_utc_us(to_utc_us(df, "updated_at", "_tz", "_order", "_upd"), "published_at", "_tz", "_order", "_pub")
-    rows = cut(assess(df.select(F.col("seq").cast("bigint").alias("row"), key_of(F.col("dedupe_key")).alias("key"), bare_doi(F.col("doi")).alias("doi"), F.coalesce("feed_url", F.lit("")).alias("src"), F.coalesce("_upd", "_pub", F.lit(-(2**62))).alias("at"), "summary", "authors")))
-    grouped = group_records(rows.select("row", "key", "doi"), "row", "key", "doi").select("row", "_grp")
-    groups = grouped.groupBy(F.col("_grp").alias("grp")).agg(F.min("row").alias("group_seq"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    rows = cut(rows.drop("key").join(grouped.withColumnRenamed("_grp", "grp"), "row").join(groups, "grp"))
+    rows = cut(assess(df.select("row", "grp", "group_seq", "doi", F.coalesce("feed_url", F.lit("")).alias("src"), F.coalesce("_upd", "_pub", F.lit(-(2**62))).alias("at"), "summary", "authors")))
     # each field's claims: the value, whether it may be true, and its place in the data model's order (null if it cannot stand)
     rank = lambda x, y: F.struct(x.cast("bigint").alias("x"), y.cast("bigint").alias("y"))
     zero, claim = F.lit(0), lambda field, value, possible, r: F.struct(F.lit(field).alias("field"), value.alias("value"), possible.alias("possible"), r.alias("rank"))
