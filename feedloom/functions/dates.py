@@ -34,3 +34,31 @@ def period(at: Column, first: Column, last: Column, periods: int) -> Column:
     days = lambda c: F.floor((us(c) - us(first)) / F.lit(86_400_000_000.0))
     width = F.nullif(days(last) / F.lit(float(periods)), F.lit(0.0))
     return F.when(at.isNull(), F.lit(-1)).otherwise(F.coalesce(F.floor(days(at) / width), F.lit(0))).cast("bigint")
+
+
+def long_date(at: Column) -> Column:
+    return F.date_format(at, "MMMM dd, yyyy")
+
+
+def default_range(as_of: Column, days: int) -> tuple[Column, Column]:
+    """From so many days ago until now."""
+    return as_of - F.make_dt_interval(F.lit(days)), as_of
+
+
+def recent(at: Column, as_of: Column, days: int) -> Column:
+    """Not older than so many days; rows without a date pass."""
+    return F.coalesce(at.cast("timestamp") >= as_of - F.make_dt_interval(F.lit(days)), F.lit(True))
+
+
+def rederived(source: Column, trust: Column, published: Column, updated: Column, fetched: Column) -> Column:
+    """``(date_source, used_fallback_date, freshness_confidence)`` for records that may not name their date's source."""
+    named = F.when(F.coalesce(source, F.lit("")).isin("", "unknown", "none"), F.when(published.isNotNull(), "published_at").when(updated.isNotNull(), "updated_at").otherwise("fetched_at")).otherwise(source)
+    fallback = published.isNull() & F.coalesce(updated.cast("string"), fetched.cast("string")).isNotNull()
+    sure = F.coalesce(F.nullif(trust, F.lit("")), F.when(named == "published_at", "high").when(named == "updated_at", "medium").otherwise("low"))
+    return F.struct(named.alias("date_source"), fallback.alias("used_fallback_date"), sure.alias("freshness_confidence"))
+
+
+def first_known(dates: list[tuple[str, Column]], trusted: set[str]) -> Column:
+    """``(date_source, freshness_confidence)`` of the first date of an ordered list that is there."""
+    made = [F.when(c.isNotNull(), F.struct(F.lit(name).alias("date_source"), F.lit("medium" if name in trusted else "low").alias("freshness_confidence"))) for name, c in dates]
+    return F.coalesce(*made, F.struct(F.lit("unknown").alias("date_source"), F.lit("low").alias("freshness_confidence")))

@@ -78,3 +78,8 @@ def legacy_key(url_: Column, title: Column, content: Column) -> Column:
     u, t = F.nullif(legacy_url(url_), F.lit("")), F.nullif(comparable_title(title), F.lit(""))
     c = F.when(F.trim(F.coalesce(content, F.lit(""))) != "", content_hash(content))
     return F.coalesce(F.concat(F.lit("url:"), u), F.concat(F.lit("title:"), t), F.concat(F.lit("content:"), c), F.lit("fallback:"))
+
+
+def article_id(url_: Column, title: Column) -> Column:
+    """The URL, or the title where there is none."""
+    return F.coalesce(F.nullif(url_, F.lit("")), title)

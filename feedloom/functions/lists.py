@@ -32,3 +32,14 @@ def json_object(c: Column) -> Column:
 def overlay(base: Column, over: Column) -> Column:
     """A map whose keys are replaced by those of another."""
     return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(over, k)), over)
+
+
+def split_names(line: Column) -> Column:
+    """The names of a line that commas separate; names that hold a comma fall apart."""
+    return F.filter(F.transform(F.split(line, ","), lambda a: F.trim(a)), lambda a: a != "")
+
+
+def evidence_text(fields: list[tuple[Column, Column]]) -> Column:
+    """All values and what supports them as one text, in order, blanks and nulls left out."""
+    parts = F.concat(*[F.concat(F.array(value), F.coalesce(support, F.array().cast("array<string>"))) for value, support in fields])
+    return F.array_join(F.filter(parts, lambda x: F.coalesce(x, F.lit("")) != ""), " ")

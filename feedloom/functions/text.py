@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities that feeds write in plain text; the ampersand comes last.
-BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&hellip;", "…"), ("&amp;", "&"))
-
+from feedloom.functions.udfs import html_unescape
 
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -20,13 +18,9 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-def unescape_basic(c: Column) -> Column:
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), BASIC_ENTITIES, c)
-
-
 def strip_html(c: Column, max_length: int | None = None, gap: str = " ") -> Column:
-    """Without tags, then without entities; cut at ``max_length`` and back to the last whole word."""
-    t = squeeze(unescape_basic(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", gap)))
+    """Without tags, then without entities of any kind; cut at ``max_length`` and back to the last whole word."""
+    t = squeeze(html_unescape(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", gap)))
     if not max_length:
         return t
     return F.when(F.length(t) <= max_length, t).otherwise(F.regexp_replace(F.substring(t, 1, max_length), " [^ ]*$", ""))
@@ -130,3 +124,13 @@ def attributed(c: Column, source: Column, position: Column, phrases: list[str],
     tail = lambda p: F.regexp_replace(c, "(?i)" + p, "")
     changed = F.coalesce(*[F.when(c.rlike("(?i)" + p), F.concat(F.lit(noun + " "), by, tail(p))) for p, noun in subjects])
     return F.coalesce(changed, F.concat(F.lit("A study "), by, F.lit(": "), F.lower(F.substring(c, 1, 1)), F.substring(c, 2, 1_000_000)))
+
+
+def label(c: Column) -> Column:
+    """A key as words: underscores are blanks."""
+    return F.replace(c, F.lit("_"), F.lit(" "))
+
+
+def acceptable(c: Column, rejected: list[str], least: int = 30) -> Column:
+    """Whether text is long enough and holds none of the phrases; false for null."""
+    return (F.length(F.coalesce(c, F.lit(""))) >= least) & ~contains_any(c, rejected)

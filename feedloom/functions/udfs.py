@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 @F.pandas_udf(T.StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """All named and numeric entities."""
-    return s.map(lambda x: html.unescape(x) if isinstance(x, str) else None)
+    return s.map(lambda x: (html.unescape(x) if "&" in x else x) if isinstance(x, str) else None)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -66,3 +66,26 @@ def stats(snapshot: DataFrame) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def suppressed(state: Column, emitted: bool, seen: bool) -> Column:
+    """Whether an item of this novelty is held back; updated and reappeared items never are."""
+    held = [s for s, on in ((EMITTED, emitted), (SEEN, seen)) if on]
+    return state.isin(*held) if held else F.lit(False)
+
+
+def window_state(known: Column, seen_days: Column, emitted_days: Column, allow_after_days: int, emitted: bool, seen: bool) -> Column:
+    """``(status, seen_days, emitted_days, suppressed)`` of an article and its stored row: within the window after its
+    emission, or after its first sighting if it never was emitted, it is held back where that is switched on."""
+    was = emitted_days.isNotNull()
+    held = F.when(was, (emitted_days < allow_after_days) & emitted).otherwise((seen_days < allow_after_days) & seen)
+    status = F.when(~known, NEW).when(was, "emitted").otherwise("seen")
+    return F.struct(status.alias("status"), seen_days.alias("seen_days"), emitted_days.alias("emitted_days"), F.coalesce(held, F.lit(False)).alias("suppressed"))
+
+
+def mark_published(snapshot: DataFrame, chosen: DataFrame, key: str, at: str, update_history: bool = False) -> DataFrame:
+    """Set ``emitted_at`` of the chosen rows; nothing changes unless ``update_history`` is on."""
+    if not update_history:
+        return snapshot
+    marks = chosen.select(F.col(key).alias("_k")).distinct()
+    return snapshot.join(marks, F.col(key) == F.col("_k"), "left").withColumn("emitted_at", F.when(F.col("_k").isNotNull(), F.lit(at)).otherwise(F.col("emitted_at"))).drop("_k")

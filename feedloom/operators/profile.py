@@ -42,3 +42,11 @@ def grouped_openings(df: DataFrame, key: Column, least: int = 3) -> DataFrame:
     df = df.withColumn("_k", F.nullif(key, F.lit("")))
     often = df.filter("_k is not null").groupBy("_k").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
     return df.join(often, "_k", "left").withColumn("is_grouped", F.col("_n").isNotNull()).drop("_k", "_n")
+
+
+def diagnostics(df: DataFrame, flags: dict[str, Column], reason: Column, source: Column, words: int = 4) -> DataFrame:
+    """``(name, n)``: all rows, the rows of each flag, of each reason (by its first words) and of each source, in one pass:
+    every row gives the names it counts for, which are added up map-side."""
+    names = [F.lit("total"), F.concat(F.lit("source:"), F.coalesce(source, F.lit("unknown"))), F.concat(F.lit("reason:"), F.array_join(F.slice(F.split(reason, " "), 1, words), " "))]
+    names += [F.when(c, F.lit(f"flag:{name}")) for name, c in flags.items()]
+    return df.select(F.explode(F.array_compact(F.array(*names))).alias("name")).groupBy("name").agg(F.count("*").alias("n"))

@@ -82,3 +82,41 @@ def evidence_sufficiency(quality: Column, filled: dict[str, Column], numeric: Co
 
 def text_quality(length: Column) -> Column:
     return F.when(length < 300, "snippet_only").when(length < 2000, "abstract").otherwise("full_text")
+
+
+def is_correction(title: Column) -> Column:
+    return F.lower(F.coalesce(title, F.lit(""))).rlike(CORRECTION)
+
+
+def staged_type(title: Column, content: Column, explicit: list[tuple[str, str]], rules: tuple, prior: Column, default: str) -> Column:
+    """The first stage that knows a type: configured patterns over title and text, the rules over the title, the rules over
+    both, the type known before, the default."""
+    probe = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.substring(F.coalesce(content, F.lit("")), 1, 500))
+    before = F.lower(F.trim(F.coalesce(prior, F.lit(""))))
+    stages = ([first_match(probe, explicit)] if explicit else []) + [first_match(title, rules), first_match(probe, rules), F.when(~before.isin("", "unknown"), before)]
+    return F.coalesce(*stages, F.lit(default))
+
+
+def type_by_hints(title: Column, content: Column, source: Column, sources: dict[str, str], hints: dict[str, list[str]]) -> Column:
+    """A type by the first name that the source holds, else by the first list with a phrase in the text, else ``unknown``."""
+    low, body = F.lower(F.coalesce(source, F.lit(""))), F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(content, F.lit(""))))
+    rules = [F.when(F.contains(low, F.lit(name)), F.lit(kind)) for name, kind in sources.items()]
+    rules += [F.when(reduce(lambda a, w: a | F.contains(body, F.lit(w)), words, F.lit(False)), F.lit(kind)) for kind, words in hints.items()]
+    return F.coalesce(*rules, F.lit("unknown"))
+
+
+def tier_estimate(length: Column, kind: Column) -> Column:
+    """The tier that length and type suggest before anything is known of the evidence."""
+    return F.when(length < 100, "titles_to_watch").when((length < 300) | kind.isin("editorial", "commentary"), "short_blurb").otherwise("full")
+
+
+def tier_penalty(tier: Column) -> Column:
+    return F.when(tier == "full", 0.0).when(tier == "short_blurb", -2.0).otherwise(-6.0)
+
+
+def top_topic(text: Column, dictionary: dict[str, list[str]]) -> Column:
+    """The topic with the most keywords in lower-cased text, the first of equals; ``general`` without any."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    hit = [F.struct(reduce(lambda a, w: a + F.when(F.contains(low, F.lit(w)), 1).otherwise(0), words, F.lit(0)).alias("n"), F.lit(-k).alias("place"), F.lit(name).alias("topic")) for k, (name, words) in enumerate(dictionary.items())]
+    best = F.array_max(F.array(*hit))
+    return F.when(best["n"] > 0, best["topic"]).otherwise("general")

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from feedloom.functions import dates, ids
 from feedloom.functions.text import comparable_title
 from feedloom.operators import history, resolve
-from feedloom.plans.ingest import AS_OF, as_of, items, url_sql
+from feedloom.plans.ingest import AS_OF, as_of, doi_sql, items, url_sql
 from feedloom.session import load
 
 
 def _keys(df: DataFrame) -> list:
     full = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    return [F.when(full("doi").rlike(r"^10\.\d{4,9}/[^/]*[a-z0-9]$"), full("doi")).otherwise(""), full("pmid"), ids.url(F.col("canonical_url"))]
+    return [F.lower(F.coalesce(ids.doi(F.col("doi")), F.lit(""))), full("pmid"), ids.url(F.col("canonical_url"))]
 
 
 def exact_clusters(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,7 +134,7 @@ def last_emission(spark: SparkSession, sf: str) -> DataFrame:
     return today.filter("asks = 1").join(before, ["source", "day"], "left").select("id", F.coalesce("today", "before").alias("previous"))
 
 
-_DOI = r"case when regexp_matches(lower(trim(coalesce(doi, ''))), '^10\.\d{4,9}/[^/]*[a-z0-9]$') then lower(trim(doi)) else '' end"
+_DOI = f"lower(coalesce({doi_sql('doi')}, ''))"
 _TITLE = "regexp_replace(trim(regexp_replace(lower(coalesce(title, '')), '[\\s\\x{0B}\\x{85}\\p{Z}]+', ' ', 'g')), '^(?:breaking|exclusive|update|correction|retraction):\\s*', '')"
 _EDGES = "k as ({keys}), f as (select key, min(seq) as a from k group by key having count(*) > 1), e as (select distinct a, seq as b from k join f using (key) where a < seq)"
 

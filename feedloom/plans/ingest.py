@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import dates, ids, lists, text
 from feedloom.operators import profile, resolve, score
+from feedloom.operators.timestamps import to_utc_us
+from feedloom.plans.instants_sql import INSTANTS_SQL
 from feedloom.session import load
 from feedloom.sources import blocks
 
@@ -53,9 +55,12 @@ def merged_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def freshness_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    at = lambda c: F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"), F.try_to_timestamp(F.regexp_replace(c, "[TZ]", " "), F.lit("yyyy-MM-dd HH:mm:ss ")))
-    f = dates.freshness(at("published_at"), at("updated_at"), F.col("fetched_at").cast("timestamp"))
-    return items(spark, sf).withColumn("f", f).select("seq", "f.date_source", "f.used_fallback_date", "f.freshness_confidence", dates.whole_days(F.col("f.at"), as_of()).alias("age_days"))
+    """The date that counts; published and updated dates are read in every notation, in the zone of their feed."""
+    feeds = load(spark, sf, "feed_config").select(F.col("url").alias("feed_url"), "tz_name", "date_order")
+    df = items(spark, sf).select("seq", "feed_url", "published_at", "updated_at", "fetched_at").join(feeds, "feed_url", "left")
+    df = to_utc_us(to_utc_us(df, "published_at", "tz_name", "date_order", "p"), "updated_at", "tz_name", "date_order", "u")
+    f = dates.freshness(F.timestamp_micros("p"), F.timestamp_micros("u"), F.col("fetched_at").cast("timestamp"))
+    return df.withColumn("f", f).select("seq", "f.date_source", "f.used_fallback_date", "f.freshness_confidence", dates.whole_days(F.col("f.at"), as_of()).alias("age_days"))
 
 
 def recent_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,7 +68,10 @@ def recent_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corrections(spark: SparkSession, sf: str) -> DataFrame:
-    return items(spark, sf).filter(F.lower(F.coalesce("title", F.lit(""))).rlike(score.CORRECTION)).select("seq", "title")
+    """Which texts and titles speak of a correction, retraction or erratum."""
+    texts = load(spark, sf, "documents").select(F.lit("documents").alias("source_table"), F.col("doc_id").alias("row_id"), F.col("text").alias("t"))
+    titles = items(spark, sf).select(F.lit("normalized_item").alias("source_table"), F.col("seq").alias("row_id"), F.concat_ws(" ", "title", "summary").alias("t"))
+    return texts.union(titles).groupBy("source_table").agg(F.count("*").alias("n"), F.count_if(score.is_correction(F.col("t"))).alias("n_corrections"))
 
 
 def date_range_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,12 +119,17 @@ def json_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def script_sections(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
+    """How many lines each section of a script has."""
     docs = load(spark, sf, "documents").filter("doc_type = 'script' and text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    head = F.when(F.col("t").rlike("^={3} .* ={3}$"), F.col("t"))
-    lines = docs.withColumn("section", F.last(head, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("line")))
-    return lines.groupBy("doc_id", F.coalesce("section", F.lit("")).alias("section")).agg(F.count("*").alias("n_lines"))
+    return blocks.in_sections(docs, "t", "line", "doc_id").groupBy("doc_id", "section").agg(F.count("*").alias("n_lines"))
+
+
+def script_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """The titles of scripts that are made of articles: stories first, the others as quick hits."""
+    df = items(spark, sf).select("run_id", "seq", F.nullif(F.trim(F.regexp_replace("title", r"[\r\n]+", " ")), F.lit("")).alias("title"), (F.col("quality_score") >= 8).alias("main")).filter("title is not null")
+    lines = df.select("run_id", F.when(F.col("main"), F.concat(F.lit("Story "), "seq", F.lit(": "), "title")).otherwise(F.concat(F.lit("• "), "title")).alias("t"), (F.col("seq") * 2 + F.when(F.col("main"), 0).otherwise(1 << 40)).alias("line"))
+    heads = df.select("run_id").distinct().select("run_id", F.lit("=== QUICK HITS ===").alias("t"), F.lit((1 << 40) - 1).alias("line"))
+    return blocks.script_titles(lines.unionByName(heads), "t", "line", "run_id").groupBy("run_id").agg(F.count("*").alias("n_titles"), F.sum(F.length("title")).alias("n_chars"))
 
 
 def diagnostics_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,7 +138,6 @@ def diagnostics_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 WS = r"[\s\x{0B}\x{85}\p{Z}]+"
-_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 _TRACK = ", ".join(f"'{t}'" for t in ids.TRACKING)
 
 
@@ -156,11 +168,24 @@ def hash_sql(x: str) -> str:
     return f"substr(sha256({x}), 1, 16)"
 
 
+def _entities_sql() -> str:
+    """Named entities of Latin-1 and punctuation and their numbers, the ampersand last; SQL has no function for them."""
+    from html.entities import name2codepoint
+
+    pairs = [(f"&{name};", chr(n)) for name, n in sorted(name2codepoint.items()) if name != "amp"]
+    pairs += [(f"&#{n};", chr(n)) for n in [*range(33, 256), *range(8208, 8240), 8364, 8722] if n != 38 and not 127 <= n < 160] + [("&#x27;", "'"), ("&#x2F;", "/"), ("&LT;", "<"), ("&GT;", ">"), ("&QUOT;", '"')]
+    pairs += [(f"&#{n}", chr(n)) for n in range(33, 100) if n != 38]  # numbers that lost their end
+    pairs += [(x, "&") for x in ("&AMP;", "&#38;", "&amp;")]
+    quoted = lambda x: x.replace("'", "''")
+    return "[" + ", ".join(f"struct_pack(a := '{quoted(a)}', b := '{quoted(b)}')" for a, b in pairs) + "]"
+
+
+_ENTITIES = _entities_sql()
+
+
 def html_sql(c: str, gap: str = " ") -> str:
     t = f"regexp_replace(coalesce({c}, ''), '<[^>]+>', '{gap}', 'g')"
-    for a, b in text.BASIC_ENTITIES:
-        t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
-    return squeeze_sql(t)
+    return squeeze_sql(f"list_reduce(list_prepend(struct_pack(a := {t}, b := ''), {_ENTITIES}), lambda x, e: struct_pack(a := replace(x.a, e.a, e.b), b := '')).a")
 
 
 def legacy_url_sql(c: str) -> str:
@@ -187,12 +212,12 @@ SQL = {
     "merged_tags": """with t as (select i.seq, list_concat(coalesce(i.tags, []), coalesce(f.tags, [])) as tags from normalized_item i left join feed_config f on i.feed_url = f.url),
         e as (select seq, trim(unnest(tags)) as tag, generate_subscripts(tags, 1) as k from t), d as (select * from e where tag is not null and tag <> '' qualify row_number() over (partition by seq, lower(tag) order by k) = 1)
         select seq, row_number() over (partition by seq order by k) - 1 as place, tag from d""",
-    "freshness_attribution": f"""with p as (select seq, case when regexp_matches(published_at, '{_UTC}') then try_cast(published_at as timestamp) end as p, case when regexp_matches(updated_at, '{_UTC}') then try_cast(updated_at as timestamp) end as u, fetched_at as f from normalized_item)
+    "freshness_attribution": f"""with {INSTANTS_SQL}, p as (select i.seq, a.us as p, b.us as u, epoch_us(i.fetched_at) as f from normalized_item i left join instants a on a.row_id = i.seq and a.field_name = 'published_at' and a.source_table = 'normalized_item' left join instants b on b.row_id = i.seq and b.field_name = 'updated_at' and b.source_table = 'normalized_item')
         select seq, case when p is not null then 'published_at' when u is not null then 'updated_at' else 'fetched_at' end as date_source, p is null as used_fallback_date,
         case when p is not null then 'high' when u is not null then 'medium' else 'low' end as freshness_confidence,
-        cast(floor((epoch_us(timestamp '{AS_OF}') - epoch_us(coalesce(p, u, f))) / 86400000000.0) as bigint) as age_days from p""",
+        cast(floor((epoch_us(timestamp '{AS_OF}') - coalesce(p, u, f)) / 86400000000.0) as bigint) as age_days from p""",
     "recent_items": "select seq, run_id from normalized_item where fetched_at >= timestamp '2025-10-01'",
-    "corrections": f"select seq, title from normalized_item where regexp_matches(lower(coalesce(title, '')), '{score.CORRECTION}')",
+    "corrections": f"select source_table, count(*) as n, count(*) filter (regexp_matches(lower(coalesce(t, '')), '{score.CORRECTION}')) as n_corrections from (select 'documents' as source_table, text as t from documents union all select 'normalized_item', concat_ws(' ', title, summary) from normalized_item) group by 1",
     "date_range_profile": f"""select count(*) as articles, strftime(min(fetched_at), '%Y-%m-%d %H:%M:%S') as first_at, strftime(max(fetched_at), '%Y-%m-%d %H:%M:%S') as last_at, count(distinct {domain_sql('canonical_url')}) as domains,
         cast(floor(avg(length(coalesce(content_snippet, '')))) as bigint) as mean_length, count(*) - count(fetched_at) as missing_date
         from normalized_item where cast(fetched_at as date) between date '2023-01-01' and date '2024-06-30'""",
@@ -207,8 +232,10 @@ SQL = {
     "text_blocks": rf"""select seq, nullif({strip_sql("regexp_replace(title, '[\r\n]+', ' ', 'g')")}, '') as title, nullif({strip_sql("regexp_replace(canonical_url, '[\r\n]+', ' ', 'g')")}, '') as url, regexp_replace(coalesce(content_snippet, ''), '\s+$', '') as content from normalized_item""",
     "json_records": "select seq, title, coalesce(len(tags), 0) as n_tags, round(quality_score, 3) as quality_score from normalized_item",
     "script_sections": r"""with l as (select doc_id, unnest(string_split(text, chr(10))) as t, generate_subscripts(string_split(text, chr(10)), 1) as line from documents where doc_type = 'script' and text is not null),
-        s as (select doc_id, last_value(case when regexp_matches(t, '^={3} .* ={3}$') then t end ignore nulls) over (partition by doc_id order by line rows between unbounded preceding and current row) as section from l)
+        s as (select doc_id, last_value(case when regexp_matches(trim(t), '^={3} .* ={3}$') then trim(t) end ignore nulls) over (partition by doc_id order by line rows between unbounded preceding and current row) as section from l)
         select doc_id, coalesce(section, '') as section, count(*) as n_lines from s group by 1, 2""",
+    "script_titles": r"""with t as (select run_id, seq, coalesce(quality_score >= 8, false) as main, trim(regexp_replace(title, '[\r\n]+', ' ', 'g')) as t from normalized_item), k as (select * from t where t <> '')
+        select run_id, count(*) as n_titles, cast(sum(length(t)) as bigint) as n_chars from k group by 1""",
     "diagnostics_rollup": "select source_type, language, count(*) as n, round(avg(quality_score), 6) as mean_quality from normalized_item group by rollup (source_type, language)",
 }
-QUERIES = {f.__name__: f for f in (canonical_urls, dedupe_keys, legacy_keys, plain_snippets, domain_top_k, author_counts, merged_tags, freshness_attribution, recent_items, corrections, date_range_profile, peak_hour, occurrence_histogram, feed_diagnostics, run_summary, temporal_periods, text_blocks, json_records, script_sections, diagnostics_rollup)}
+QUERIES = {f.__name__: f for f in (canonical_urls, dedupe_keys, legacy_keys, plain_snippets, domain_top_k, author_counts, merged_tags, freshness_attribution, recent_items, corrections, date_range_profile, peak_hour, occurrence_histogram, feed_diagnostics, run_summary, temporal_periods, text_blocks, json_records, script_sections, script_titles, diagnostics_rollup)}

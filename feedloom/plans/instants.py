@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators import timestamps as ts
+from feedloom.plans.instants_sql import INSTANTS_SQL
 from feedloom.session import load
 
 
@@ -53,4 +54,4 @@ def p2_zone_estimates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_zone_estimates": p2_zone_estimates}
-SQL: dict[str, str] = {}
+SQL = {"p2_found": f"with {INSTANTS_SQL} select source_table, row_id, field_name, us as utc_us from instants where us is not null and not regexp_matches(v, '^\\d{{4}}-\\d{{2}}-\\d{{2}}T\\d{{2}}:\\d{{2}}:\\d{{2}}\\+00:00$')"}

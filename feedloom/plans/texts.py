@@ -72,7 +72,7 @@ def sentence_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def filtered_texts(spark: SparkSession, sf: str) -> DataFrame:
     made = verify.labelled_sentences(F.col("content_snippet"), F.col("summary"), F.col("title"), F.lit(""))
-    return items(spark, sf).select("seq", F.length(verify.filtered(F.col("content_snippet"), made)).cast("bigint").alias("n_chars"))
+    return items(spark, sf).select("seq", verify.filtered(F.col("content_snippet"), made).alias("text"))
 
 
 def generic_summaries(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,7 +199,7 @@ SQL = {
         select c.rule as rule, count(*) as n, count(*) filter (c.ok) as n_passed from c group by 1""",
     "sentence_labels": f"{_LABELS} select seq, place, {_LABEL} as label, rule from l",
     "filtered_texts": f"""{_LABELS}, g as (select seq, list(s) as good from l where {_LABEL} <> 'unsupported' group by seq), k as (select i.seq, i.content_snippet, list_filter({_SENTENCES.replace('{0}', 'i.content_snippet')}, lambda s: list_contains(coalesce(g.good, []), s)) as kept from normalized_item i left join g on i.seq = g.seq)
-        select seq, length(case when len(kept) > 0 then array_to_string(kept, ' ') else content_snippet end) as n_chars from k""",
+        select seq, case when len(kept) > 0 then array_to_string(kept, ' ') else content_snippet end as text from k""",
     "generic_summaries": f"""with t as (select seq, {_tokens_sql('title')} as a, {_tokens_sql('content_snippet')} as b, lower(coalesce(content_snippet, '')) as f, lower(coalesce(summary, '')) as m from normalized_item)
         select seq, reason from (select seq, unnest([case when len(a) > 0 and len(b) > 0 and len(list_intersect(a, b)) / greatest(len(a), len(b)) >= 0.65 then 'restates_title' end, case when {_any_sql('m', verify.GENERIC)} then 'generic_relevance' end, case when {_any_sql('f', verify.NO_FINDING)} then 'no_finding' end, case when trim(f) = '' then 'empty_finding' end]) as reason from t) where reason is not null""",
     "repeated_phrases": "select phrase, n from (select unnest([" + ", ".join(f"struct_pack(phrase := '{p}', n := count(*) filter (contains(lower(coalesce(content_snippet, '')), '{p}')), rows := count(*))" for p in PHRASES) + "], recursive := true) from normalized_item) where n >= greatest(2, floor(rows * 0.35))",

@@ -14,10 +14,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.  Only a local session may do without: it gets a private one, as
+    in tests; on a cluster a folder of one machine would lose what other machines wrote, so that is an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "feedloom-checkpoints"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 

@@ -39,18 +39,19 @@ def read_blocks(spark: SparkSession, path: str, fields: tuple[str, ...] = FIELDS
     return parse_blocks(spark.read.text(path, wholetext=True), "value", fields)
 
 
-def script_titles(lines: DataFrame, text: str, line: str, key: str) -> DataFrame:
-    """Titles of a script: ``Story N: t`` before the quick hits, ``• t`` in them, until the next section.
-
-    The section of a line is the last heading before it: a running value within one document.
-    """
+def in_sections(lines: DataFrame, text: str, line: str, key: str) -> DataFrame:
+    """``lines`` with ``section``: the last heading (``=== … ===``) before a line of a document, ``''`` before the first."""
     from pyspark.sql.window import Window
 
-    t = F.trim(F.col(text))
-    section = F.when(t.rlike("^={3}.*={3}$"), F.trim(F.translate(t, "=", "")))
-    running = F.last(section, ignorenulls=True).over(Window.partitionBy(key).orderBy(line))
-    tagged = lines.withColumn("_s", F.coalesce(running, F.lit(""))).withColumn("_t", t)
+    head = F.when(F.trim(F.col(text)).rlike("^={3} .* ={3}$"), F.trim(F.col(text)))
+    running = F.last(head, ignorenulls=True).over(Window.partitionBy(key).orderBy(line))
+    return lines.withColumn("section", F.coalesce(running, F.lit("")))
+
+
+def script_titles(lines: DataFrame, text: str, line: str, key: str) -> DataFrame:
+    """Titles of a script: ``Story N: t`` before the quick hits, ``• t`` in them, until the next section."""
+    tagged = in_sections(lines, text, line, key).withColumn("_t", F.trim(F.col(text)))
     story = F.nullif(F.regexp_extract("_t", r"^Story \d+: (.+)$", 1), F.lit(""))
     quick = F.nullif(F.regexp_extract("_t", r"^• (.+)$", 1), F.lit(""))
-    title = F.when(F.col("_s") == "QUICK HITS", quick).otherwise(story)
+    title = F.when(F.col("section") == "=== QUICK HITS ===", quick).otherwise(story)
     return tagged.select(key, line, title.alias("title")).filter("title is not null")
