@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import html
 import textwrap
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import SparkSession
@@ -24,6 +25,56 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
+#: How many of each letter :func:`letter_bits` tells apart, from the most frequent ones down: 256 in all.
+LETTER_ROOM = {c: n for letters, n in ((" e", 16), ("tainosr", 14), ("lhdcump", 9), ("fgyvbw", 6), ("kz-,0123456789", 2)) for c in letters}
+_FIRST_BIT = dict(zip(LETTER_ROOM, [sum(list(LETTER_ROOM.values())[:k]) for k in range(len(LETTER_ROOM))]))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def letter_bits(s: pd.Series) -> pd.Series:
+    """The letters of a text as 256 bits, one for each occurrence: the bits that two texts share number the letters that they
+    share, as far as there is room."""
+
+    def bits(text: str) -> list[int]:
+        x = 0
+        for c, n in Counter(text or "").items():
+            if c in LETTER_ROOM:
+                x |= ((1 << min(n, LETTER_ROOM[c])) - 1) << _FIRST_BIT[c]
+        parts = [x >> 64 * k & (1 << 64) - 1 for k in range(4)]
+        return [p - (1 << 64) if p >> 63 else p for p in parts]
+
+    return s.map(bits)
+
+
+def common_length(a: str, b: str) -> int:
+    """The length of the longest common subsequence: one addition of whole numbers for each letter of ``b``."""
+    place: dict[str, int] = {}
+    for k, c in enumerate(a):
+        place[c] = place.get(c, 0) | 1 << k
+    full = free = (1 << len(a)) - 1
+    for c in b:
+        u = free & place.get(c, 0)
+        free = (free + u) | (free - u)
+    return len(a) - (free & full).bit_count()
+
+
+def ratio_from(threshold: float):
+    """:func:`sequence_ratio` where it reaches ``threshold``, else null.  Matching blocks are a common subsequence, so most
+    pairs are told by its length, which takes a tenth of the time."""
+
+    @F.pandas_udf(T.DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            r = 1.0 if x == y else None
+            if r is None and 2 * common_length(x, y) >= threshold * (len(x) + len(y)):
+                r = difflib.SequenceMatcher(None, x, y).ratio()
+            out.append(r if r is not None and r >= threshold else None)
+        return pd.Series(out, dtype="float64")
+
+    return ratio
+
+
 @F.pandas_udf(T.StringType())
 def wrap_text(s: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else "\n".join(textwrap.wrap(t, int(w))) for t, w in zip(s, width)])

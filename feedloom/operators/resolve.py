@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedloom.functions.text import comparable_title
-from feedloom.functions.udfs import sequence_ratio
+from feedloom.functions.udfs import letter_bits, ratio_from
 from feedloom.operators.components import components
+from feedloom.session import cut
 
 
 def key_edges(df: DataFrame, row_id: str, keys: list[Column]) -> DataFrame:
@@ -40,31 +44,65 @@ def best_of(df: DataFrame, cluster: str, score: str, row_id: str) -> DataFrame:
     return df.groupBy(cluster).agg(best.alias("_best"), F.count("*").alias("cluster_size")).select(cluster, "cluster_size", "_best.*")
 
 
-LETTERS = "abcdefghijklmnoprstuvwy"
-
+def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: float = 0.85, days: int = 7) -> DataFrame:
+    """``(x, y, a, b, similarity)``: different titles with a matching-block ratio of at least ``threshold``, the first record of
+    each, and their ratio, the earlier record's title first.  Only titles with records in neighbouring periods of ``days``
+    are compared; a record without a date is near all.
 
-def fuzzy_pairs(df: DataFrame, row_id: str, title: str, at: str, threshold: float = 0.85, days: int = 7) -> DataFrame:
-    """``(a, b, similarity)`` of titles with a matching-block ratio of at least ``threshold``, within ``days`` of each other.
-
-    Exact pruning: records are range-partitioned by day windows; lengths must satisfy min/max >= t / (2 - t), and a letter
-    histogram bounds the matching blocks from above.  Rows without a date are not compared by time and are left out;
-    equal titles go through :func:`key_edges`.
+    Every title is compared once, however many records carry it.  Exact pruning: lengths must satisfy min/max >= t / (2 - t),
+    letters bound the matching blocks from above, then the longest common subsequence does.
+    """
+    day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(86_400_000_000.0) / days).cast("bigint")
+    seen = df.select(F.col(row_id).alias("id"), comparable_title(F.col(title)).alias("t"), day.alias("cell")).filter("t != ''")
+    low = threshold / (2 - threshold)
+    titles = seen.groupBy("t").agg(F.min("id").alias("id")).withColumn("n", F.length("t")).withColumn("bits", letter_bits("t"))
+    titles = cut(titles.select("t", "id", "n", *[F.get("bits", F.lit(k)).alias(f"k{k}") for k in range(4)]).withColumn("other", F.col("n") - _shared("", "")))
+    brief = titles.drop("t")
+    cells = cut(seen.select("t", "cell").distinct().join(titles.select("t", "id"), "t").select("id", "cell"))
+    size = F.floor(F.log("n") / math.log(1 / low)).cast("bigint")
+
+    def close(l: DataFrame, r: DataFrame, on: str) -> DataFrame:
+        """Pairs of titles that meet and pass the bounds; letters without room may match without bound."""
+        may = _shared("l.", "r.") + F.least("l.other", "r.other")
+        good = (F.col(f"l.{on}") == F.col(f"r.{on}")) & (F.col("l.id") != F.col("r.id")) & (F.least("l.n", "r.n") >= low * F.greatest("l.n", "r.n")) & (2 * may >= threshold * (F.col("l.n") + F.col("r.n")))
+        return l.alias("l").join(r.alias("r"), good).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
+
+    when = cells.filter("cell is not null").join(brief, "id")
+    near = close(when, when.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))), "cell")
+    undated = brief.join(cells.filter("cell is null").select("id"), "id", "left_semi").withColumn("size", F.explode(F.sequence(size - 1, size + 1)))
+    pairs = near.union(close(undated, brief.withColumn("size", size), "size")).distinct()
+    pairs = pairs.join(titles.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(titles.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+    # what is left costs far more a row than moving it: over all cores, whatever its size in bytes
+    spark = df.sparkSession
+    pairs = pairs.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "a", "b")
+    return pairs.withColumn("similarity", F.round(ratio_from(threshold)("x", "y"), 6)).filter("similarity is not null").select("x", "y", "a", "b", "similarity")
+
+
+def _shared(l: str, r: str) -> Column:
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{l}k{k}").bitwiseAND(F.col(f"{r}k{k}"))) for k in range(4)])
+
+
+def title_edges(df: DataFrame, row_id: str, title: str, at: str, links: DataFrame, days: int = 7) -> DataFrame:
+    """``(a, b)``: edges whose closure is that of all records with equal or linked titles (``links``: x, y) within ``days`` of each
+    other, or without a date.
+
+    A title, and each pair of linked ones, is a group of records; in a group a period of ``days`` is a star, neighbouring
+    periods are joined by their nearest records, and a group with an undated record is one star.  So a common title
+    gives one edge a record and is never gathered.
     """
-    t = comparable_title(F.col(title))
-    letters = F.transform(F.sequence(F.lit(0), F.lit(len(LETTERS) - 1)), lambda i: F.length(F.col("t")) - F.length(F.replace(F.col("t"), F.substr(F.lit(LETTERS), i + 1, F.lit(1)), F.lit(""))))
-    day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(86_400_000_000.0) / (days + 1)).cast("bigint")
-    base = df.select(F.col(row_id).alias("id"), t.alias("t"), F.col(at).cast("timestamp").alias("at"), day.alias("day")).filter("t != '' and at is not null")
-    base = base.withColumn("n", F.length("t")).withColumn("h", letters)
-    l, r = base.alias("l"), base.withColumn("slot", F.explode(F.array(F.col("day") - 1, F.col("day"), F.col("day") + 1))).alias("r")
-    low, high = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
-    near = F.abs(F.unix_micros("l.at") - F.unix_micros("r.at")) <= days * 86_400_000_000
-    common = F.aggregate(F.zip_with("l.h", "r.h", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
-    # letters outside the histogram are not counted: they may match without bound
-    rest = F.least(F.col("l.n") - F.aggregate("l.h", F.lit(0), lambda a, x: a + x), F.col("r.n") - F.aggregate("r.h", F.lit(0), lambda a, x: a + x))
-    pairs = l.join(r, (F.col("l.day") == F.col("r.slot")) & (F.col("l.id") < F.col("r.id")) & near & (low >= threshold / (2 - threshold) * high))
-    pairs = pairs.filter(2 * (common + rest) >= threshold * (F.col("l.n") + F.col("r.n")))
-    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.t").alias("x"), F.col("r.t").alias("y"))
-    return pairs.withColumn("similarity", sequence_ratio("x", "y")).filter(F.col("similarity") >= threshold).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    own = df.select(F.col(row_id).alias("id"), comparable_title(F.col(title)).alias("t"), F.unix_micros(F.col(at).cast("timestamp")).alias("at")).filter("t != ''")
+    group = F.concat_ws("\n", "x", "y")
+    member = links.select(F.col("x").alias("t"), group.alias("g")).union(links.select(F.col("y").alias("t"), group.alias("g")))
+    rows = cut(own.withColumn("g", F.col("t")).union(own.join(member, "t").select("id", "t", "at", "g")).select("g", "id", "at", F.floor(F.col("at") / F.lit(86_400_000_000.0) / days).cast("bigint").alias("cell")))
+    whole = rows.groupBy("g").agg(F.min("id").alias("a"), F.max(F.col("at").isNull()).alias("undated"))
+    star = rows.join(whole.filter("undated").select("g", "a"), "g").select("a", F.col("id").alias("b"))
+    dated = rows.join(whole.filter("undated").select("g"), "g", "left_anti")
+    cells = dated.groupBy("g", "cell").agg(F.min("id").alias("a"), F.min(F.struct("at", "id")).alias("first"), F.max(F.struct("at", "id")).alias("last"))
+    within = dated.join(cells.select("g", "cell", "a"), ["g", "cell"]).select("a", F.col("id").alias("b"))
+    following = cells.select("g", (F.col("cell") - 1).alias("cell"), F.col("first").alias("then"))
+    across = cells.join(following, ["g", "cell"]).filter(F.col("then.at") - F.col("last.at") <= days * 86_400_000_000).select(F.col("last.id").alias("a"), F.col("then.id").alias("b"))
+    edges = star.union(within).union(across)
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
 def occurrences(df: DataFrame, key: Column, row_id: str) -> DataFrame:

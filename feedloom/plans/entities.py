@@ -9,7 +9,8 @@ from feedloom.functions import dates, ids
 from feedloom.functions.text import comparable_title
 from feedloom.operators import history, resolve
 from feedloom.plans.ingest import AS_OF, as_of, doi_sql, items, url_sql
-from feedloom.session import load
+from feedloom.operators.timestamps import to_utc_us
+from feedloom.session import cut, load
 
 
 def _keys(df: DataFrame) -> list:
@@ -29,9 +30,27 @@ def richest_records(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.best_of(df, "key", "richness", "seq").select("key", "seq", "richness", "cluster_size")
 
 
+def _dated(spark: SparkSession, sf: str) -> DataFrame:
+    """Items with the instant of their publication, in whatever notation; null where there is none."""
+    feeds = load(spark, sf, "feed_config").select(F.col("url").alias("feed_url"), "tz_name", "date_order")
+    df = items(spark, sf).join(feeds, "feed_url", "left")
+    return to_utc_us(df, "published_at", "tz_name", "date_order", "us").withColumn("at", F.timestamp_micros("us"))
+
+
 def fuzzy_title_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact matching-block similarity; no SQL engine here has it, so tests compare it with brute force."""
-    return resolve.fuzzy_pairs(items(spark, sf), "seq", "title", "fetched_at")
+    """Similar titles, by the first record of each; no SQL engine here has the similarity, so tests use brute force."""
+    df = cut(_dated(spark, sf).select("seq", "title", "at"))
+    return resolve.fuzzy_titles(df, "seq", "title", "at").select("a", "b", "similarity")
+
+
+def article_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters over identifiers, URLs and similar titles near in time together, and the richest record of each."""
+    df = _dated(spark, sf).select("seq", "doi", "pmid", "canonical_url", "title", "at", resolve.richness(F.col("doi"), F.col("pmid"), F.col("authors"), F.col("summary"), F.col("published_at"), F.col("tags")).alias("richness"))
+    df = cut(df)
+    links = cut(resolve.fuzzy_titles(df, "seq", "title", "at").select("x", "y"))
+    edges = resolve.key_edges(df, "seq", _keys(df)).union(resolve.title_edges(df, "seq", "title", "at", links))
+    best = resolve.best_of(resolve.clusters(df.select("seq", "richness"), "seq", edges), "cluster_id", "richness", "seq")
+    return best.filter("cluster_size > 1").select("cluster_id", "seq", "richness", "cluster_size")
 
 
 def ordered_duplicates(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,4 +196,4 @@ SQL = {
     "key_overlap": "select case when h is null then 'incoming' when i is null then 'history' else 'both' end as side, count(*) as n from (select distinct lower(trim(dedupe_key)) as h from history) a full join (select distinct lower(trim(dedupe_key)) as i from incoming_item) b on a.h = b.i where coalesce(h, i) is not null group by 1",
     "last_emission": "select a.id, max(b.emitted_at) as previous from selection_history a left join selection_history b on a.source = b.source and b.emitted_at <= a.first_seen_at where a.source is not null group by a.id",
 }
-QUERIES = {f.__name__: f for f in (exact_clusters, richest_records, fuzzy_title_pairs, ordered_duplicates, history_matches, history_novelty, history_next, history_stats, emitted_marks, selection_lookup, selection_next, title_urls, changed_fields, key_overlap, last_emission)}
+QUERIES = {f.__name__: f for f in (exact_clusters, richest_records, fuzzy_title_pairs, article_clusters, ordered_duplicates, history_matches, history_novelty, history_next, history_stats, emitted_marks, selection_lookup, selection_next, title_urls, changed_fields, key_overlap, last_emission)}

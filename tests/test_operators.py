@@ -89,12 +89,62 @@ def test_components_against_union_find(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-def test_fuzzy_pairs_lose_none(spark, sf):
-    df = spark.read.parquet(f"{sf}/normalized_item.parquet").filter("seq <= 120 and trim(title) != ''").select("seq", "title", "fetched_at")
+def near_records(rows):
+    """All pairs of records with similar titles within a week, or without a date, one by one."""
+    out = set()
+    for x in rows:
+        for y in rows:
+            if x.seq < y.seq and x.t and y.t and (x.at is None or y.at is None or abs((x.at - y.at).total_seconds()) <= 7 * 86400):
+                if x.t == y.t or difflib.SequenceMatcher(None, x.t, y.t).ratio() >= 0.85:
+                    out.add((x.seq, y.seq))
+    return out
+
+
+def test_fuzzy_titles_and_their_closure(spark, sf):
+    df = spark.read.parquet(f"{sf}/normalized_item.parquet").filter("seq <= 130").select("seq", "title", F.when(F.col("seq") % 9 != 0, F.col("fetched_at")).alias("at"))
     rows = df.withColumn("t", text.comparable_title(F.col("title"))).collect()
-    got = {(r.a, r.b) for r in resolve.fuzzy_pairs(df, "seq", "title", "fetched_at").collect()}
-    want = {(x.seq, y.seq) for x in rows for y in rows if x.seq < y.seq and x.t and y.t and abs((x.fetched_at - y.fetched_at).total_seconds()) <= 7 * 86400 and (x.t == y.t or difflib.SequenceMatcher(None, x.t, y.t).ratio() >= 0.85)}
-    assert got == want and got
+    want = near_records(rows)
+    first = {}
+    for r in sorted(rows, key=lambda r: r.seq):
+        first.setdefault(r.t, r.seq)
+    of = {r.seq: r.t for r in rows}
+    links = resolve.fuzzy_titles(df, "seq", "title", "at")
+    got = {(r.a, r.b) for r in links.collect()}
+    assert {tuple(sorted((first[of[x]], first[of[y]]))) for x, y in want if of[x] != of[y]} <= got
+    assert all(difflib.SequenceMatcher(None, of[a], of[b]).ratio() >= 0.85 for a, b in got) and got
+
+    def closure(edges):
+        parent = {}
+
+        def top(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for a, b in edges:
+            x, y = sorted((top(a), top(b)))
+            parent[y] = x
+        return {x: top(x) for x in parent}
+
+    edges = [(r.a, r.b) for r in resolve.title_edges(df, "seq", "title", "at", links.select("x", "y")).collect()]
+    assert closure(edges) == closure(want)
+
+
+def test_letter_bits_and_common_length_bound_the_ratio(spark):
+    from feedloom.functions import udfs
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("aeionst rzß-1", k=rng.randrange(1, 40))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("b", udfs.letter_bits("t"))
+    bits = {r.t: sum((x & (1 << 64) - 1) << 64 * k for k, x in enumerate(r.b)) for r in df.collect()}
+    for a in texts:
+        for b in texts[:20]:
+            m = difflib.SequenceMatcher(None, a, b).ratio() * (len(a) + len(b)) / 2
+            free = min(len(a) - bits[a].bit_count(), len(b) - bits[b].bit_count())
+            assert m <= udfs.common_length(a, b) + 1e-9 and m <= (bits[a] & bits[b]).bit_count() + free + 1e-9
+    assert udfs.common_length("", "abc") == 0 and udfs.common_length("xaybzc", "abc") == 3
+    got = spark.createDataFrame([("abcd", "abcx"), ("abcd", "zzzz"), ("q", "q")], "x string, y string").select(udfs.ratio_from(0.7)("x", "y").alias("r")).collect()
+    assert [r.r for r in got] == [0.75, None, 1.0]
 
 
 def test_best_of_a_cluster(spark):
@@ -119,6 +169,53 @@ def test_ordered_selection_against_a_loop(spark):
     assert got == want
 
 
+def test_period_caps_role_caps_and_audit(spark):
+    rng = random.Random(8)
+    rows = [(i, float(rng.randrange(60)), rng.choice("abcde"), rng.choice([-1, 0, 1, 2, 3, None]), rng.random() < 0.5, True) for i in range(300)]
+    df = spark.createDataFrame(rows, "i bigint, s double, f string, p int, m boolean, q boolean")
+    roles = [("main", "m", 12), ("quick", "q", 7)]
+    got = {r.i: r.role for r in ranking.select_ordered(df, "i", "s", {}, roles, role_caps={"main": {"f": 4}}, periods=("main", "p", 4)).collect()}
+    room, of_source, of_period, dated, want = {"main": 12, "quick": 7}, {}, {}, 0, {}
+    for i, _, f, p, m, _ in sorted(rows, key=lambda r: (-r[1], r[0])):
+        want[i] = "rejected"
+        open_ = p is not None and p >= 0
+        if m and room["main"] and of_source.get(f, 0) < 4 and (of_period.get(p, 0) < 3 if open_ else dated < 12 * 0.8):
+            want[i], of_source[f] = "main", of_source.get(f, 0) + 1
+            if open_:
+                of_period[p], dated = of_period.get(p, 0) + 1, dated + 1
+        elif room["quick"]:
+            want[i] = "quick"
+        if want[i] != "rejected":
+            room[want[i]] -= 1
+    assert got == want and {"main", "quick"} <= set(want.values())
+    audit = {(r.regime, r.role): r.n for r in ranking.cap_audit(df, "i", "s", "f", roles, {"strict": 1, "off": None}).collect()}
+    assert audit == {("strict", "main"): 5, ("strict", "quick"): 5, ("off", "main"): 12, ("off", "quick"): 7}
+
+
+def test_ranks_over_many_partitions(spark):
+    df = spark.createDataFrame([(i, i % 7) for i in range(500)], "i bigint, s int").repartition(6)
+    got = [r.i for r in ranking.ranked(df, [F.desc("s"), F.asc("i")]).orderBy("rank").collect()]
+    assert got == [i for i, _ in sorted(((i, i % 7) for i in range(500)), key=lambda r: (-r[1], r[0]))]
+    assert ranking.ranked(df.limit(0), [F.asc("i")]).count() == 0
+    assert ranking.first_rows(df, [F.asc("i")], 0).count() == 500 and ranking.first_rows(df, [F.asc("i")], 3).count() == 3
+
+
+def test_entities_of_all_kinds(spark):
+    got = [r.t for r in spark.createDataFrame([("<p>Fish &amp; chips</p>",), ("caf&eacute; &#8217;s &ndash; &#x41;",), ("&amp;lt;",), (None,), ("",)], "x string").select(text.strip_html(F.col("x")).alias("t")).collect()]
+    assert got == ["Fish & chips", "café ’s – A", "&lt;", "", ""]
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder(monkeypatch):
+    from types import SimpleNamespace as N
+
+    from feedloom import session
+
+    unset = N(getCheckpointDir=lambda: N(isDefined=lambda: False, get=lambda: None))
+    context = N(getConf=lambda: N(get=lambda k: None), _jsc=N(sc=lambda: unset), master="spark://host:7077", setCheckpointDir=lambda d: None)
+    with pytest.raises(ValueError, match="shared folder"):
+        session.checkpoint_dir(N(sparkContext=context, conf=N(get=lambda k, d: d)))
+
+
 def test_overflow_and_openings(spark):
     df = spark.createDataFrame([(i, float(i), "featured") for i in range(8)], "i bigint, s double, tier string")
     assert sorted(r.i for r in ranking.overflow(df, "i", "tier", [F.desc("s")], 5, "featured", "watch").filter("tier = 'watch'").collect()) == [0, 1, 2]
