@@ -4,8 +4,8 @@ A value is rewritten by at most four regular expressions into one canonical ``ki
 string, which is split once.  Local times are converted with the zone rules of the JVM, for which a time that
 occurs twice is the earlier instant and a skipped one takes the offset in force before the change.
 
-Zones that no configuration declares are estimated: of a bounded list of candidate zones (each one an offset
-history) the one is taken under which the fewest values lie after the time at which they were ingested.
+Zones that no configuration declares are estimated: of the candidate zones (each one an offset history) the one is taken
+under which the fewest values lie after the time at which they were ingested, or before one that arrived earlier.
 
 Defined results: null, blank, placeholder and unreadable values give null; years outside 1900-2199 are
 placeholders; a null or unknown zone leaves values without zone null unless it can be estimated.
@@ -18,6 +18,7 @@ from zoneinfo import available_timezones
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Month names and abbreviations of the supported locales.
 MONTHS = {
@@ -52,8 +53,10 @@ _DAY_FIRST = r"^(?:\p{L}+\.?,\s*)?(\d{1,2})\.?\s+(?:de\s+)?(\p{L}+)\.?\s+(?:de\s
 _MONTH_FIRST = r"^(?:\p{L}+\.?,\s*)?(\p{L}+)\.?\s+(\d{1,2}),?\s+(\d{4})(?:,?\s+(?:at\s+)?" + _CLOCK + r")?" + _ZONE + "$"
 
 DAY_US, MINUTE_US = 86_400_000_000, 60_000_000
-#: The most candidate zones that one estimate compares.
-MAX_ZONES = 64
+#: The candidate zones that a value is compared with at once; more are compared in further blocks.
+ZONES_AT_ONCE = 64
+#: Values of a writer, by their order of arrival, that one window runs over.
+SEQUENCE_BLOCK = 100_000
 
 
 def _strip(c: Column) -> Column:
@@ -135,23 +138,37 @@ def to_utc_us(df: DataFrame, value: str, tz: str, order: str, out: str = "utc_us
     return parsed(df, value, tz, order).withColumn(out, F.coalesce(epoch, at + sub)).drop(*parts)
 
 
-def estimate_zones(df: DataFrame, key: str, value: str, order: str, ingested: str, zones: list[str], slack_s: int = 0) -> DataFrame:
+def estimate_zones(df: DataFrame, key: str, value: str, order: str, ingested: str, zones: list[str], slack_s: int = 0, sequence: str | None = None) -> DataFrame:
     """``(key, zone_estimate, violations, values_used)``: for each writer the candidate zone under which the fewest local
-    times lie after their ingestion; ties go to the smallest total delay, then to the first name.
+    times are violated; ties go to the smallest total delay, then to the first name.
 
-    ``zones`` is bounded by :data:`MAX_ZONES`.  Each value is compared with every candidate in its own row and counted
-    map-side, so that the shuffle holds one row for each writer, candidate and partition.
+    A local time is violated if it lies after its ingestion by more than ``slack_s`` seconds; with ``sequence``, the order in
+    which a writer's values arrived, also if a value that arrived before it and names its own zone lies later.  Values
+    without time of ingestion are judged by that order alone.  Each value is compared with every candidate in its own row
+    and counted map-side, so that the shuffle holds one row for each writer, candidate and partition.
     """
-    zones = sorted(set(zones) & available_timezones())
-    if len(zones) > MAX_ZONES:
-        raise ValueError(f"{len(zones)} candidate zones; at most {MAX_ZONES} are compared")
-    if not zones:
-        zones = ["UTC"]
-    local = parsed(df.select(F.col(key).alias("_key"), F.col(value).alias("_v"), F.col(order).alias("_order"), F.col(ingested).cast("timestamp").alias("_in"), F.lit(None).cast("string").alias("_tz")), "_v", "_tz", "_order")
-    local = local.filter("_ts_off is null and _ts_zone is null and _ts_min is not null and _in is not null")
-    each = local.select("_key", F.explode(F.array(*map(F.lit, zones))).alias("_zone"), "_ts_min", "_ts_sub", F.unix_micros("_in").alias("_in_us"))
-    lag = F.col("_in_us") - (_in_zone(F.col("_ts_min"), F.col("_zone")) + F.col("_ts_sub"))
-    late = (lag < -slack_s * 1_000_000).cast("bigint")
-    by_zone = each.select("_key", "_zone", lag.alias("_lag"), late.alias("_late")).groupBy("_key", "_zone").agg(F.sum("_late").alias("_bad"), F.sum(F.abs("_lag").cast("double")).alias("_delay"), F.count("*").alias("_n"))
-    best = by_zone.groupBy("_key").agg(F.min(F.struct("_bad", "_delay", "_zone", "_n")).alias("_b"))
+    zones = sorted(set(zones) & available_timezones()) or ["UTC"]
+    cols = [F.col(key).alias("_key"), F.col(value).alias("_v"), F.col(order).alias("_order"), F.col(ingested).cast("timestamp").alias("_in"), F.lit(None).cast("string").alias("_tz")]
+    read = parsed(df.select(*cols, (F.col(sequence).cast("bigint") if sequence else F.lit(None).cast("bigint")).alias("_seq")), "_v", "_tz", "_order")
+    if sequence:
+        # the last instant before a value that names its own zone: a running value of one writer's day of arrival and a
+        # maximum over its days, so that a writer with many rows is split
+        known = F.when(F.col("_ts_off").between(-1080, 1080), _us(F.col("_ts_min")) - F.col("_ts_off") * F.lit(MINUTE_US).cast("bigint") + F.col("_ts_sub"))
+        read = read.withColumn("_known", known).withColumn("_block", F.floor(F.col("_seq") / SEQUENCE_BLOCK))
+        mine = Window.partitionBy("_key", "_block").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
+        tops = read.groupBy("_key", "_block").agg(F.max("_known").alias("_top"))
+        tops = tops.withColumn("_before", F.max("_top").over(Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))).drop("_top")
+        read = read.withColumn("_here", F.max("_known").over(mine)).join(tops.select(F.col("_key").alias("_k"), F.col("_block").alias("_b"), "_before"), F.col("_key").eqNullSafe(F.col("_k")) & F.col("_block").eqNullSafe(F.col("_b")), "left").withColumn("_last", F.greatest("_here", "_before"))
+    else:
+        read = read.withColumn("_last", F.lit(None).cast("bigint"))
+    local = read.filter("_ts_off is null and _ts_zone is null and _ts_min is not null and (_in is not null or _last is not null)")
+    blocks = []
+    for k in range(0, len(zones), ZONES_AT_ONCE):
+        each = local.select("_key", F.explode(F.array(*map(F.lit, zones[k : k + ZONES_AT_ONCE]))).alias("_zone"), "_ts_min", "_ts_sub", "_last", F.unix_micros("_in").alias("_in_us"))
+        at = _in_zone(F.col("_ts_min"), F.col("_zone")) + F.col("_ts_sub")
+        lag = F.col("_in_us") - at
+        late = F.coalesce(lag < -slack_s * 1_000_000, F.lit(False)) | F.coalesce(at < F.col("_last") - slack_s * 1_000_000, F.lit(False))
+        made = each.select("_key", "_zone", F.coalesce(lag, at - F.col("_last")).alias("_lag"), late.cast("bigint").alias("_late"))
+        blocks.append(made.groupBy("_key", "_zone").agg(F.sum("_late").alias("_bad"), F.sum(F.abs("_lag").cast("double")).alias("_delay"), F.count("*").alias("_n")))
+    best = reduce(DataFrame.unionByName, blocks).groupBy("_key").agg(F.min(F.struct("_bad", "_delay", "_zone", "_n")).alias("_b"))
     return best.select(F.col("_key").alias(key), F.col("_b._zone").alias("zone_estimate"), F.col("_b._bad").alias("violations"), F.col("_b._n").alias("values_used"))

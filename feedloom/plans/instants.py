@@ -17,8 +17,8 @@ def _feeds(spark: SparkSession, sf: str, key: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf: str) -> list[str]:
-    """The zones that the configuration names: at most MAX_ZONES short strings."""
-    found = load(spark, sf, "feed_config").select("tz_name").distinct().dropna().orderBy("tz_name").limit(ts.MAX_ZONES).collect()
+    """The zones that the configuration names: no more than there are zones."""
+    found = load(spark, sf, "feed_config").select("tz_name").distinct().dropna().orderBy("tz_name").collect()
     return [r[0] for r in found]
 
 

@@ -185,7 +185,11 @@ _LABELS = f"""with s as (select seq, title, summary, unnest({_SENTENCES.replace(
     when coalesce(title, '') <> '' and coalesce(len(list_intersect({_tokens_sql('s', 3)}, {_tokens_sql('title', 3)})) / nullif(len({_tokens_sql('title', 3)}), 0), 0.0) >= 0.60 then 'finding' else 'unverified' end as rule, s from s)"""
 _LABEL = "case rule when 'number' then 'unsupported' when 'design' then 'unsupported' when 'finding' then 'supported' else 'weakly_supported' end"
 
+_SCORED = f"""{_BODY}, z as (select *, list_transform(list_sort(list_filter({_TOPICS}, lambda e: e.minus < 0)), lambda e: e.topic) as t from b),
+    s as (select seq, title, source_name, feed_url, coalesce(t[1], 'general') as topic, {_TYPE.replace("coalesce(text, '')", "coalesce(title, '')")} as article_type, round({_IMPACT} + {_hits_sql("body", PENALTIES)}, 6) as score from z)"""
+
 SQL = {
+    "flagship_issue": f"{_SCORED} select * exclude rn from (select *, row_number() over (partition by feed_url order by score desc, seq) as rn from s) where rn <= 3 order by score desc, seq limit 30",
     "article_types": f"select doc_id, {_TYPE} as article_type from documents",
     "impact_scores": f"""{_BODY} select seq, round({_RIGOUR}, 6) as rigour, round({_RELEVANCE}, 6) as relevance, round({_IMPACT}, 6) as impact, round({_hits_sql("lower(coalesce(title, '') || ' ' || substr(coalesce(content_snippet, ''), 1, 300))", PENALTIES)}, 6) as penalty from b""",
     "topic_assignment": f"{_BODY}, t as (select seq, list_transform(list_sort(list_filter({_TOPICS}, lambda e: e.minus < 0)), lambda e: e.topic) as t from b) select seq, coalesce(t[1], 'general') as topic, coalesce(array_to_string(t[2:3], ','), '') as others from t",

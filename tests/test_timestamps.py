@@ -91,3 +91,61 @@ def test_empty_and_extra_columns(spark):
     df = spark.createDataFrame([("2024-05-01T10:20:30Z", "UTC", "dmy", 1, 2)], "v string, z string, o string, kind int, year int")
     assert ts.to_utc_us(df.limit(0), "v", "z", "o").count() == 0
     assert ts.to_utc_us(df, "v", "z", "o").columns == ["v", "z", "o", "kind", "year", "utc_us"]
+
+
+def planted(spark, zone, n=60):
+    """Local times of a feed that declares no zone, each fetched ten minutes later; others of it name UTC."""
+    from datetime import datetime, timedelta, timezone
+    from zoneinfo import ZoneInfo
+
+    rows = []
+    for k in range(n):
+        at = datetime(2024, 1, 5, 3, tzinfo=timezone.utc) + timedelta(days=6 * k, hours=k % 24)
+        rows.append((k, "f", at.astimezone(ZoneInfo(zone)).strftime("%Y-%m-%d %H:%M:%S"), "dmy", at + timedelta(minutes=10)))
+        rows.append((10_000 + k, "f", (at - timedelta(days=2)).strftime("%Y-%m-%dT%H:%M:%SZ"), "dmy", at + timedelta(minutes=10)))
+    return spark.createDataFrame(rows, "i bigint, k string, v string, o string, at timestamp")
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/Chicago", "Europe/Berlin"])
+def test_planted_feed_without_zone(spark, zone):
+    zones = ["Asia/Kolkata", "America/Chicago", "Europe/Berlin", "UTC"]
+    got = ts.estimate_zones(planted(spark, zone), "k", "v", "o", "at", zones).first()
+    assert (got.zone_estimate, got.violations, got.values_used) == (zone, 0, 60)
+
+
+def test_order_of_arrival_tells_a_zone_without_ingestion_times(spark):
+    """Local times between others that name UTC: only the right zone keeps the order, and without it nothing is known."""
+    from datetime import datetime, timedelta, timezone
+    from zoneinfo import ZoneInfo
+
+    rows = []
+    for k in range(40):
+        at = datetime(2024, 3, 1, tzinfo=timezone.utc) + timedelta(hours=5 * k)
+        rows.append((2 * k, "f", (at - timedelta(minutes=20)).strftime("%Y-%m-%dT%H:%M:%SZ"), "dmy"))
+        rows.append((2 * k + 1, "f", at.astimezone(ZoneInfo("America/Chicago")).strftime("%Y-%m-%d %H:%M:%S"), "dmy"))
+    df = spark.createDataFrame(rows, "i bigint, k string, v string, o string").withColumn("at", F.lit(None).cast("timestamp"))
+    zones = ["America/Chicago", "America/New_York", "America/Los_Angeles", "Europe/Berlin"]
+    got = ts.estimate_zones(df, "k", "v", "o", "at", zones, sequence="i").first()
+    assert (got.zone_estimate, got.violations) == ("America/Chicago", 0)
+    assert ts.estimate_zones(df, "k", "v", "o", "at", zones).count() == 0
+
+
+def test_more_zones_than_are_compared_at_once(spark, monkeypatch):
+    want = ts.estimate_zones(planted(spark, "Asia/Kolkata"), "k", "v", "o", "at", ["UTC", "Asia/Kolkata", "Europe/Berlin"]).collect()
+    monkeypatch.setattr(ts, "ZONES_AT_ONCE", 1)
+    assert ts.estimate_zones(planted(spark, "Asia/Kolkata"), "k", "v", "o", "at", ["UTC", "Asia/Kolkata", "Europe/Berlin"]).collect() == want
+
+
+def test_the_query_uses_the_estimate(spark, monkeypatch):
+    """Without the estimate the local times of a feed that the configuration does not know have no row."""
+    from feedloom.plans import instants
+
+    items = planted(spark, "Asia/Kolkata").select(F.col("i").alias("seq"), F.col("k").alias("feed_url"), F.col("v").alias("published_at"), F.lit(None).cast("string").alias("updated_at"), F.col("at").alias("fetched_at"))
+    feeds = spark.createDataFrame([(1, "other", "other", "Asia/Kolkata", "dmy"), (2, "more", "more", "UTC", "dmy")], "feed_id bigint, name string, url string, tz_name string, date_order string")
+    old = spark.createDataFrame([], "id bigint, source_name string, first_seen_at string, last_seen_at string")
+    monkeypatch.setattr(instants, "load", lambda spark, sf, name: {"normalized_item": items, "feed_config": feeds, "history": old}[name])
+    got = {r.row_id: r.utc_us for r in instants.p2_found(spark, "").collect()}
+    want = {r.seq: r.us - 600_000_000 for r in items.filter("seq < 10000").select("seq", F.unix_micros("fetched_at").alias("us")).collect()}
+    assert {k: v for k, v in got.items() if k < 10_000} == want
+    monkeypatch.setattr(ts, "estimate_zones", lambda df, key, *a, **k: df.limit(0).select(key, F.lit("").alias("zone_estimate")))
+    assert not any(r.row_id < 10_000 for r in instants.p2_found(spark, "").collect())
