@@ -101,8 +101,22 @@ with t as (select seq, title || chr(10) || content_snippet as x from normalized_
  w as (select distinct seq, unnest(regexp_extract_all(lower(x), '[\p{L}\p{N}]+')) as w from p),
  n as (select seq, count(*) as n from w group by seq),
  c as (select a.seq as seq_a, b.seq as seq_b, count(*) as c from w a join w b on a.w = b.w and a.seq < b.seq group by 1, 2)
-select seq_a, seq_b from c join n x on x.seq = seq_a join n y on y.seq = seq_b where c / (x.n + y.n - c) >= 0.7 - 1e-9"""
+select seq_a, seq_b, c / (x.n + y.n - c) as j from c join n x on x.seq = seq_a join n y on y.seq = seq_b where c / (x.n + y.n - c) >= 0.7 - 1e-9"""
+# The groups of those pairs: the smallest record that one is linked to, and the different other texts that it is linked to.
+_P4_GROUPS = f"""with recursive pairs as materialized (select * from ({_P4})), both_ways as (select seq_a as x, seq_b as y, j from pairs union all select seq_b, seq_a, j from pairs),
+ reach(x, y) as (select x, y from both_ways union select r.x, b.y from reach r join both_ways b on b.x = r.y), roots as (select x, least(x, min(y)) as class_id from reach group by x),
+ same as (select x, least(x, min(y)) as rep from both_ways where j > 1 - 1e-9 group by x), links as (select b.x, count(distinct coalesce(s.rep, b.y)) as links from both_ways b left join same s on s.x = b.y where b.j <= 1 - 1e-9 group by b.x)
+ select r.x as seq, r.class_id, coalesce(l.links, 0) as links from roots r left join links l on l.x = r.x"""
+# Letters and digits of texts and of all runs of 12 words; SQL has no compatibility forms, so ligatures and wide letters are named.
+_P8 = r"""
+with plain as (select doc_id, regexp_replace(regexp_replace(text, '([\p{L}\p{N}_])(?:</?[A-Za-z][^<>]*>|[*_`~]+)([\p{L}\p{N}_])', '\1\2', 'g'), '</?[A-Za-z!][^<>]*>', ' ', 'g') as t from documents where text is not null and text <> ''),
+ folded as (select doc_id, regexp_replace(lower(replace(replace(replace(replace(replace(translate({WIDE}), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬀ', 'ff'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl')), '[^\p{L}\p{N}]', '', 'g') as t from plain),
+ words as (select item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') as w from eval_item where passage is not null),
+ runs as (select item_id, list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k + 11], '')) as runs from words where len(w) >= 12)
+select doc_id, item_id from folded, runs where len(list_filter(runs, lambda r: contains(t, r))) > 0""".replace("\\1\\2", "\1\2").replace("{WIDE}", "t, '" + "".join(chr(0xFF00 + k) for k in range(0x21, 0x7F) if chr(k).isalnum()) + "', '" + "".join(chr(k) for k in range(0x21, 0x7F) if chr(k).isalnum()) + "'")
 SQL = {
-    "p4_found": _P4,
+    "p4_found": f"select seq_a, seq_b from ({_P4})",
+    "p4_groups": _P4_GROUPS,
+    "p8_found": _P8,
     "p6_found": _P6.format(table="normalized_item", id="seq", score="quality_score", url="canonical_url", name="source_name", cap=10) + "\nunion all\n" + _P6.format(table="selection_history", id="id", score="impact_score", url="url", name="source", cap=3),
 }
