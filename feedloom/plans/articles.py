@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from feedloom.operators import history, profile, ranking, resolve, score
 from feedloom.plans.entities import _matched
 from feedloom.plans.ingest import AS_OF, as_of, doi_sql, items, strip_sql
 from feedloom.plans.texts import TOPICS, _any_sql
-from feedloom.session import load
+from feedloom.session import checkpoint_dir, load
+from feedloom.sources import files
 
 # Parameters: what these queries look for in the articles, and the windows and caps they apply.
 SOURCE_TYPES = {"news": "commentary", "journal": "original_research", "annals": "original_research", "review": "review"}
@@ -194,6 +197,36 @@ def cap_audit(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.cap_audit(df, "seq", "quality_score", "feed_url", [("main", "is_main", 40), ("quick", "is_quick", 60)], {"strict": 1, "relaxed": 2, "off": None})
 
 
+def first_titles(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each title was accepted first, over both tables of accepted articles."""
+    part = lambda name, k: load(spark, sf, name).filter("title is not null").select("title", F.lit(k).alias("place"), "id")
+    both = history.union_all([part("history", 0), part("selection_history", 1)])
+    return resolve.first_window(both, ["title"], [F.asc("place"), F.asc("id")]).select("title", F.col("place").cast("bigint").alias("place"), "id")
+
+
+def overlaid_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The metadata of each item with the values of its columns over it."""
+    over = F.create_map(F.lit("language"), F.coalesce("language", F.lit("")), F.lit("doi"), F.coalesce("doi", F.lit("")))
+    made = lists.overlay(F.coalesce("raw_metadata", F.create_map().cast("map<string,string>")), over)
+    return items(spark, sf).select("seq", F.array_join(F.array_sort(F.map_keys(made)), ",").alias("names"), F.try_element_at(made, F.lit("language")).alias("language"))
+
+
+def stored_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items written as lines of JSON to the shared folder and read back."""
+    path = f"{checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    files.write_lines(items(spark, sf).select("seq", "title", "tags"), path)
+    return files.read_items(spark, path, "seq bigint, title string, tags array<string>").select("seq", "title", F.coalesce(F.size("tags"), F.lit(0)).cast("bigint").alias("n_tags"))
+
+
+def stored_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of a stored state; readers see the one named last."""
+    state = files.Snapshots(spark, f"{checkpoint_dir(spark)}/state-{uuid.uuid4().hex}")
+    old = load(spark, sf, "history").select("dedupe_key", "times_seen")
+    state.write(old)
+    state.write(state.read("dedupe_key string, times_seen bigint").withColumn("times_seen", F.col("times_seen") + 1))
+    return state.read("dedupe_key string, times_seen bigint")
+
+
 _TEXT = "lower(coalesce(title, '') || ' ' || coalesce(content_snippet, ''))"
 def _topic_sql(x: str) -> str:
     """The topic of most keyword hits; the first of equals."""
@@ -232,6 +265,10 @@ def _selection_keys(t: str, i: str, doi: str, url: str, mark: str) -> str:
 
 _STATE = rf"""case when te is null then 'new' when ch then 'updated_existing_item' when te = 0 then 'seen_not_emitted' when d >= {LOOKBACK_DAYS} then 'reappeared_after_threshold' else 'previously_emitted' end"""
 SQL = {
+    "first_titles": "select title, place, id from (select *, row_number() over (partition by title order by place, id) as rn from (select title, 0 as place, id from history union all select title, 1, id from selection_history) where title is not null) where rn = 1",
+    "overlaid_metadata": "select seq, array_to_string(list_sort(list_distinct(list_concat(coalesce(map_keys(raw_metadata), []), ['doi', 'language']))), ',') as names, coalesce(language, '') as language from normalized_item",
+    "stored_items": "select seq, title, coalesce(len(tags), 0) as n_tags from normalized_item",
+    "stored_versions": "select dedupe_key, times_seen + 1 as times_seen from history",
     "article_ids": f"""select seq, coalesce(nullif(canonical_url, ''), title) as article_id, coalesce({', '.join(doi_sql(p) for p in _PROBES)}) as found_doi, coalesce({', '.join(_pmid_sql(p) for p in _PROBES)}) as found_pmid,
         array_to_string(string_split(coalesce(title, ''), ' ')[1:4], ' ') as first_words, coalesce(nullif(summary, ''), nullif(content_snippet, '')) as first_text, coalesce(used_fallback_date, false) as is_fallback from normalized_item""",
     "display_fields": f"""with l as (select *, array_to_string({_NAMES}, ', ') as authors_line, {strip_sql("regexp_replace(summary, '\\*\\*[^*]+\\*\\*:\\s*', '', 'g')")} as bare from normalized_item)
@@ -279,4 +316,4 @@ SQL = {
     "article_blocks": rf"""select count(*) as n_articles, count(nullif({strip_sql("regexp_replace(source_name, '[\r\n]+', ' ', 'g')")}, '')) as n_sources, count(nullif({strip_sql(f"array_to_string({_NAMES}, ', ')")}, '')) as n_authors, count(fetched_at) as n_dated,
         cast(sum(length(regexp_replace(coalesce(content_snippet, ''), '\s+$', ''))) as bigint) as n_chars from normalized_item""",
 }
-QUERIES = {f.__name__: f for f in (article_ids, display_fields, heuristic_types, staged_types, raw_richness, freshness_walk, age_cutoff, novelty_split, selection_novelty, published_marks, ingest_summary, evidence_next, selection_diagnostics, trends, issue_durations, ranked_scores, newest_items, capped_again, topic_summaries, article_blocks, cap_audit)}
+QUERIES = {f.__name__: f for f in (article_ids, display_fields, heuristic_types, staged_types, raw_richness, freshness_walk, age_cutoff, novelty_split, selection_novelty, published_marks, ingest_summary, evidence_next, selection_diagnostics, trends, issue_durations, ranked_scores, newest_items, capped_again, topic_summaries, article_blocks, cap_audit, first_titles, overlaid_metadata, stored_items, stored_versions)}

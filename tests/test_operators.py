@@ -317,12 +317,16 @@ def test_streaming(spark, tmp_path):
 
     source = tmp_path / "in"
     spark.createDataFrame([("a",), ("b",), ("a",)], "k string").coalesce(1).write.json(str(source))
-    state = files.Snapshots(spark, str(tmp_path / "state"))
+    keys = streaming.SeenKeys(spark, str(tmp_path / "state"), "k")
     seen = []
     items = spark.readStream.schema("k string").json(str(source))
-    q = streaming.novelty_stream(items, "k", lambda: state.read("k string"), state.write, lambda df, n: seen.extend(r.k for r in df.collect()), str(tmp_path / "cp"))
+    q = streaming.novelty_stream(items, "k", keys, lambda df, n: seen.extend(r.k for r in df.collect()), str(tmp_path / "cp"))
     q.awaitTermination(60)
-    assert sorted(seen) == ["a", "b"] and state.read("k string").count() == 2
+    assert sorted(seen) == ["a", "b"] and keys.before(-1).count() == 2
+    again = spark.createDataFrame([("a",), ("b",)], "k string")  # the same batch once more: the same keys, still once
+    assert again.join(keys.before(0), "k", "left_anti").count() == 2
+    keys.add(again, 0)
+    assert keys.before(-1).count() == 2 and again.join(keys.before(1), "k", "left_anti").count() == 0
 
 
 def test_sequence_ratio_and_wrap(spark):
