@@ -1,4 +1,7 @@
-"""Feeds as a Spark data source: one partition a feed, conditional requests, bounded retries, errors as rows.
+"""Feeds as a Spark data source: conditional requests, bounded retries, errors as rows.
+
+Each feed is a partition of its own; option ``workers`` bounds how many are read at once, ``delay`` is the pause in seconds
+between the feeds of one worker.
 
 ``spark.dataSource.register(FeedSource)`` and then ``spark.read.format("feedloom_feed").option("feeds", json).load()``.
 A feed's ``url`` may be ``http(s)://`` or a file path, so that saved feeds are read in the same way.
@@ -13,10 +16,12 @@ import urllib.request
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from feedloom.functions.lists import first_filled
+
 SCHEMA = (
     "feed_url string, feed_name string, feed_tags array<string>, status string, http_status int, error string, etag string, last_modified string, entry bigint, "
     "title string, link string, id string, published string, updated string, summary string, contents array<string>, authors array<string>, tags array<string>, doi_text array<string>"
@@ -99,9 +104,9 @@ def entries(body: bytes) -> tuple[list[dict], bool]:
     return out, whole
 
 
-class _Feed(InputPartition):
-    def __init__(self, feed: dict):
-        self.feed = feed
+class _Feeds(InputPartition):
+    def __init__(self, feeds: list[dict]):
+        self.feeds = feeds
 
 
 class _Reader(DataSourceReader):
@@ -110,11 +115,20 @@ class _Reader(DataSourceReader):
         self.force = str(options.get("force", "false")).lower() == "true"
         self.timeout, self.attempts = float(options.get("timeout", 30)), int(options.get("attempts", 3))
 
+        self.workers, self.delay = int(options.get("workers", 0)), float(options.get("delay", 0))
+
     def partitions(self) -> list[InputPartition]:
-        return [_Feed(f) for f in self.feeds if f.get("enabled", True)]
+        feeds = [f for f in self.feeds if f.get("enabled", True)]
+        n = min(self.workers or len(feeds), len(feeds))
+        return [_Feeds(feeds[k::n]) for k in range(n)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        f = partition.feed
+        for k, feed in enumerate(partition.feeds):
+            if k and self.delay:
+                time.sleep(self.delay)
+            yield from self._one(feed)
+
+    def _one(self, f: dict) -> Iterator[tuple]:
         head = (f["url"], f.get("name"), f.get("tags") or [])
         try:
             status, body, headers = fetch(f["url"], None if self.force else f.get("etag"), None if self.force else f.get("last_modified"), self.timeout, self.attempts)
@@ -154,3 +168,16 @@ def merged_cache(old: DataFrame, rows: DataFrame) -> DataFrame:
     """The state of conditional requests, new values over old ones."""
     new = rows.groupBy("feed_url").agg(F.max("etag").alias("_e"), F.max("last_modified").alias("_m"))
     return old.join(new, "feed_url", "full_outer").select("feed_url", F.coalesce("_e", "etag").alias("etag"), F.coalesce("_m", "last_modified").alias("last_modified"))
+
+
+def canonical_url(link: Column, found_doi: Column) -> Column:
+    """The link of an entry, else the resolver's link of its DOI, else ``''``."""
+    return F.coalesce(F.nullif(F.trim(link), F.lit("")), F.concat(F.lit("https://doi.org/"), found_doi), F.lit(""))
+
+
+def with_defaults(rows: DataFrame, as_of: Column) -> DataFrame:
+    """Entries as the older format has them: a title that stands for none, the first date that is there, else ``as_of`` as text,
+    and the first text of contents and summary."""
+    filled = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
+    body = first_filled(F.concat(F.coalesce("contents", F.array().cast("array<string>")), F.array("summary")))
+    return rows.filter("entry is not null").select("feed_url", "entry", F.coalesce(filled("title"), F.lit("No title available")).alias("title"), "link", F.coalesce(filled("published"), filled("updated"), as_of.cast("string")).alias("date"), F.coalesce(body, F.lit("")).alias("content"))

@@ -19,6 +19,11 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_summary(df: DataFrame, path: str) -> None:
+    """The counters of a run, one row, as one JSON file."""
+    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
 def as_array(df: DataFrame, order: str) -> DataFrame:
     """One row with all rows as a JSON array, in order: for export of a bounded result."""
     return df.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.struct(*df.columns).alias("row")))), lambda x: x["row"])).alias("json"))

@@ -334,3 +334,20 @@ def test_sequence_ratio_and_wrap(spark):
     got = [r.o for r in df.select(udfs.sequence_ratio("a", "b").alias("o")).collect()]
     assert got == [difflib.SequenceMatcher(None, a or "", b or "").ratio() if a != b else 1.0 for a, b in (("tide", "diet"), ("diet", "tide"), ("a", "a"), (None, "x"))]
     assert applied(spark, ["one two three"], lambda c: udfs.wrap_text(c, F.lit(7))) == ["one two\nthree"]
+
+
+def test_workers_defaults_and_summary(spark, tmp_path):
+    from feedloom.sources import feeds, files
+
+    for k in range(3):
+        (tmp_path / f"{k}.xml").write_text(f"<rss><channel><item><title>{'T' if k else ' '}</title><description>Text {k}</description></item></channel></rss>")
+    reader = feeds._Reader({"feeds": json.dumps([{"url": str(tmp_path / f"{k}.xml")} for k in range(3)] + [{"url": "x", "enabled": False}]), "workers": "2"})
+    assert [len(p.feeds) for p in reader.partitions()] == [2, 1] and len(feeds._Reader({"feeds": "[]"}).partitions()) == 0
+    spark.dataSource.register(feeds.FeedSource)
+    rows = spark.read.format("feedloom_feed").option("feeds", json.dumps([{"url": str(tmp_path / f"{k}.xml")} for k in range(3)])).option("workers", "1").load()
+    got = {(r.title, r.date, r.content) for r in feeds.with_defaults(rows, F.lit("2026-01-01")).collect()}
+    assert got == {("No title available", "2026-01-01", "Text 0"), ("T", "2026-01-01", "Text 1"), ("T", "2026-01-01", "Text 2")}
+    links = spark.createDataFrame([("http://a", "10.1/x"), (" ", "10.1/x"), (None, None)], "l string, d string").select(feeds.canonical_url(F.col("l"), F.col("d")).alias("u")).collect()
+    assert [r.u for r in links] == ["http://a", "https://doi.org/10.1/x", ""]
+    files.write_summary(spark.createDataFrame([(3, 2)], "raw int, kept int"), str(tmp_path / "summary"))
+    assert files.read_items(spark, str(tmp_path / "summary")).first().asDict() == {"kept": 2, "raw": 3}
