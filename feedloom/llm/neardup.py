@@ -4,8 +4,10 @@ A record is the set of words of its fields.  Words in more than a fixed share of
 ``MAX_FREQUENT`` of them, counted over all records), the others *rare*.  With threshold t, two sets x and y match only
 if ``|x ^ y| <= b (|x| + |y|)`` where ``b = (1 - t) / (1 + t)``.  Every matching pair meets in one of two indexes:
 
-* it shares a rare word: the index list of that word.  Entries that cannot reach the threshold are skipped by size, by
-  the position of the word in both sets, and by a 128-bit parity sketch, whose difference never exceeds ``|x ^ y|``;
+* it shares a rare word: the index list of that word.  Lists are joined whole: entries that cannot reach the threshold are
+  passed over pair by pair, by size, by the position of the word in both sets, and by a 128-bit parity sketch, whose
+  difference never exceeds ``|x ^ y|``.  A list holds at most ``FREQUENT_SHARE`` of the records, so over a closed vocabulary
+  the pairs grow with the square of the records;
 * it shares none: then its frequent words differ by at most ``c(x) + c(y)`` with ``c = b |x| - rare words``, a few words.
   Frequent words fall into more hash groups than that, so that at least one group is the same on both sides, and a
   prefix of the groups, those of most words first, is enough.  Records are kept in levels by ``c``.
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import cut, word_hash, words
-from feedloom.llm.components import components
+from feedloom.operators.components import components
 
 #: A word in more than this share of the records is frequent; so many are the most, by their number of records.
 FREQUENT_SHARE, MAX_FREQUENT = 0.002, 32_000
