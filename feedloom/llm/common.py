@@ -5,14 +5,15 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import cut, load
+from feedloom.session import checkpoint_dir, cut, load
 
-__all__ = ["cut", "host_of", "load", "plain", "small", "spread", "strip", "word_hash", "words"]
+__all__ = ["cut", "host_of", "load", "plain", "small", "spread", "stored", "strip", "word_hash", "words"]
 
 #: The most rows of a dimension table that are broadcast; a larger one is joined by shuffle.
 MAX_DIMENSION = 10_000
@@ -30,6 +31,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(n, key) if df.rdd.getNumPartitions() < n else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a table in the shared folder and read from it: like a checkpoint, but compressed and by columns."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def strip(c: Column) -> Column:
     """Without outer white space of any kind."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

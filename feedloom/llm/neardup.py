@@ -21,7 +21,6 @@ are members of one class; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import cut, word_hash, words
+from feedloom.llm.common import cut, stored, word_hash, words
 from feedloom.operators.components import components
 
 #: A word in more than this share of the records is frequent; so many are the most, by their number of records.
@@ -58,38 +57,11 @@ def _columns(df: DataFrame, row_id: str, fields: list[str]) -> DataFrame:
     return df.select(F.col(row_id).cast("bigint").alias("id"), *[F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)])
 
 
-def frequent_words(df: DataFrame, row_id: str, fields: list[str], share: float = FREQUENT_SHARE) -> list[int]:
-    """The frequent words' hashes: counted over all records, added up in each task first; at most ``MAX_FREQUENT``."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-        for b in batches:
-            for _, found in _hashes([c.to_pylist() for c in b.columns[1:]]):
-                seen.update(found)
-            if len(seen) > 500_000:
-                yield out()
-                seen.clear()
-        if seen:
-            yield out()
-
-    filled = _columns(df, row_id, fields)
-    for i in range(len(fields)):
-        filled = filled.filter(F.col(f"f{i}").rlike(r"(?U)\S"))
-    least = share * filled.count()
-    n = filled.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") > least)
-    return [r.word for r in n.orderBy(F.desc("n"), "word").limit(MAX_FREQUENT).collect()]
-
-
-def word_sets(df: DataFrame, row_id: str, fields: list[str], frequent: list[int]) -> DataFrame:
-    """``(id, size, common array<smallint>, rare array<bigint>, s0, s1, k0, k1)``: sets, sketches and keys of equal sets."""
+def hashed(df: DataFrame, row_id: str, fields: list[str]) -> DataFrame:
+    """``(id, words array<bigint>, s0, s1, k0, k1)``: the sets of all records with their sketches and the keys of equal sets.
+    Texts are read and hashed here, once."""
     import xxhash
 
-    place = {w: i for i, w in enumerate(frequent)}
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
@@ -98,16 +70,39 @@ def word_sets(df: DataFrame, row_id: str, fields: list[str], frequent: list[int]
                 for w in found:
                     s[w & 1] ^= 1 << (w >> 1 & 63)
                 key = xxhash.xxh3_128_intdigest(np.array(found, np.int64).tobytes())
-                rows.append((k, len(found), [place[w] for w in found if w in place], [w for w in found if w not in place], s[0], s[1], key >> 64, key & _MASK))
+                rows.append((k, found, s[0], s[1], key >> 64, key & _MASK))
             if rows:
-                k, size, common, rare, *longs = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(k)), pa.array(size, pa.int32()), pa.array(common, pa.list_(pa.int16())), pa.array(rare, pa.list_(pa.int64())), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in longs]],
-                    ["id", "size", "common", "rare", "s0", "s1", "k0", "k1"],
-                )
+                k, found, *longs = zip(*rows)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(k)), pa.array(found, pa.list_(pa.int64())), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in longs]], ["id", "words", "s0", "s1", "k0", "k1"])
+
+    return _columns(df, row_id, fields).mapInArrow(each, "id bigint, words array<bigint>, s0 bigint, s1 bigint, k0 bigint, k1 bigint")
+
+
+def frequent_words(sets: DataFrame, share: float = FREQUENT_SHARE) -> list[int]:
+    """The words of ``hashed`` in more than a share of the records: counted over all records; at most ``MAX_FREQUENT``."""
+    n = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") > share * sets.count())
+    return [r.word for r in n.orderBy(F.desc("n"), "word").limit(MAX_FREQUENT).collect()]
+
+
+def word_sets(sets: DataFrame, frequent: list[int]) -> DataFrame:
+    """``(id, size, common array<smallint>, rare array<bigint>, s0, s1)``: the sets of ``hashed`` with frequent words by number."""
+    order = np.argsort(np.array(frequent, np.int64))
+    names = np.array(frequent, np.int64)[order]
+
+    def lists(values: np.ndarray, row: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.bincount(row, minlength=n).cumsum()].astype(np.int32)), pa.array(values, kind))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            offsets = np.asarray(b.column(1).offsets)
+            words = np.asarray(b.column(1).values)[offsets[0] : offsets[-1]]
+            row = np.repeat(np.arange(b.num_rows), np.diff(offsets))
+            at = np.minimum(np.searchsorted(names, words), max(len(names) - 1, 0))
+            known = names[at] == words if len(names) else np.zeros(len(words), bool)
+            common = lists(order[at[known]].astype(np.int16), row[known], b.num_rows, pa.int16())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offsets).astype(np.int32)), common, lists(words[~known], row[~known], b.num_rows, pa.int64()), b.column(2), b.column(3)], ["id", "size", "common", "rare", "s0", "s1"])
 
-    schema = "id bigint, size int, common array<smallint>, rare array<bigint>, s0 bigint, s1 bigint, k0 bigint, k1 bigint"
-    return _columns(df, row_id, fields).mapInArrow(each, schema)
+    return sets.select("id", "words", "s0", "s1").mapInArrow(each, "id bigint, size int, common array<smallint>, rare array<bigint>, s0 bigint, s1 bigint")
 
 
 def _slack(t: float) -> float:
@@ -206,12 +201,12 @@ class NearDuplicates:
     """The join of one table: ``classes`` (id, rep) and ``links`` (a, b) between representatives."""
 
     def __init__(self, df: DataFrame, row_id: str, fields: list[str], t: float):
-        self.all = cut(word_sets(df, row_id, fields, frequent_words(df, row_id, fields)))
+        self.all = stored(hashed(df, row_id, fields))
         reps = self.all.groupBy("k0", "k1").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
         many = reps.filter("n > 1").drop("n")
-        self.copies = self.all.select("id", "k0", "k1").join(many, ["k0", "k1"]).select("rep", "id")  # of classes of two and more, the representative too
+        self.copies = cut(self.all.select("id", "k0", "k1").join(many, ["k0", "k1"]).select("rep", "id"))  # of classes of two and more, the representative too
         sets = self.all.join(self.copies.filter("id != rep").select("id"), "id", "left_anti")
-        self.links = cut(similar_sets(sets, t))
+        self.links = cut(similar_sets(cut(word_sets(sets, frequent_words(self.all))), t))
 
     def pairs(self) -> DataFrame:
         """``(seq_a, seq_b)`` of all matching records: the answers of each class hold for all its members."""
