@@ -19,7 +19,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        if not named and not sc.master.startswith("local["):
+        if not named and sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "feedloom-checkpoints"))
     return named or sc._jsc.sc().getCheckpointDir().get()
