@@ -2,7 +2,8 @@
 
 Each task keeps, for each contributor and run it meets, a heap of at most ``cap`` (score, id) pairs; the heaps of
 the tasks are merged in two levels, salted first, so that a contributor with a third of all rows sends at most
-``cap`` pairs from each task and no task merges the heaps of every other one alone.  Full records are then
+``cap`` pairs from each task and no task merges the heaps of every other one alone.  The last level reads its pairs
+ordered by group, so that a task may hold any number of groups and none is passed on before it ends.  Full records are then
 matched with the kept identifiers, which are unique and thus never skewed.
 
 Names are resolved by joins (exact key, host, abbreviated words, initials, misspellings by the segments that two close
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 
 from feedloom.llm.common import MAX_DIMENSION, cut, host_of, small
 
-#: Groups whose heaps a task holds at once; beyond that it passes them on and begins anew.
+#: Groups whose heaps a task holds at once; beyond that it passes them on and begins anew (where groups come in order, all
+#: but the one that may go on).
 HELD = 100_000
 #: The most misspellings of a name.
 MISSPELT = 2
@@ -36,7 +38,7 @@ MISSPELT = 2
 _PAIRS = T.StructType([T.StructField("grp", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("id", T.LongType())])
 
 
-def _heaps(cap: int):
+def _heaps(cap: int, ordered: bool = False):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps: dict[str, list] = {}
 
@@ -56,7 +58,9 @@ def _heaps(cap: int):
                 elif pair > heap[0]:
                     heapq.heapreplace(heap, pair)
             if len(heaps) > HELD:
+                last = {g: heaps.pop(g)} if ordered else {}
                 yield from out()
+                heaps.update(last)
         yield from out()
 
     return keep
@@ -69,7 +73,7 @@ def kept_ids(rows: DataFrame, group: str, score: str, row_id: str, cap: int, sal
     pairs = rows.select(F.col(group).cast("string").alias("grp"), F.col(score).cast("double").alias("score"), F.col(row_id).cast("bigint").alias("id")).filter("grp is not null")
     pairs = pairs.mapInArrow(_heaps(cap), _PAIRS)
     pairs = pairs.repartition("grp", F.pmod("id", F.lit(salts))).mapInArrow(_heaps(cap), _PAIRS)
-    return pairs.repartition("grp").mapInArrow(_heaps(cap), _PAIRS).select("id")
+    return pairs.repartition("grp").sortWithinPartitions("grp").mapInArrow(_heaps(cap, ordered=True), _PAIRS).select("id")
 
 
 def beyond_cap(rows: DataFrame, group: str, score: str, row_id: str, cap: int) -> DataFrame:

@@ -132,6 +132,23 @@ def test_heaps_passed_on_early(spark, rng, monkeypatch):
     assert {r.id for r in caps.kept_ids(df, "g", "s", "i", 3).collect()} == want and len(want) == 150
 
 
+def test_more_groups_in_a_task_than_heaps(spark, rng, monkeypatch):
+    rows = [(i, f"g{rng.randrange(50)}", rng.random()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "i bigint, g string, s double")
+    of = {}
+    for i, g, s in rows:
+        of.setdefault(g, []).append((-s, i))
+    monkeypatch.setattr(caps, "HELD", 2)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")  # groups go on from one Arrow batch to the next
+    try:
+        got = [r.id for r in caps.kept_ids(df, "g", "s", "i", 3).collect()]
+    finally:
+        spark.conf.set(size, before)
+    assert sorted(got) == sorted(i for pairs in of.values() for _, i in sorted(pairs)[:3])
+
+
 def test_contributor_of_rows(spark):
     rows = [(1, "https://m.garul-rm.example/x?y#z", "whatever"), (2, "HTTPS://WWW.RENYORFR.EXAMPLE", None), (3, None, "Rudvol Fertility Review."), (4, "https://other.example/a", "nobody"), (5, "", " "), (6, "garul-rm.example/x", None)]
     df = spark.createDataFrame(rows, "i bigint, url string, name string")
