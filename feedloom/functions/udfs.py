@@ -7,7 +7,9 @@ import html
 import textwrap
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,116 @@ def letter_bits(s: pd.Series) -> pd.Series:
     return s.map(bits)
 
 
+#: The letters with the first 60 and the next 70 bits; what is left are the rare ones.
+_PARTS = (" eta", "inosr")
+_PART_BITS = [[np.uint64(x >> 64 * k & 2**64 - 1) for k in range(3)] for x in ((1 << 60) - 1, (1 << 130) - (1 << 60))]
+_LETTER_CODE = {c: 33 + k for k, c in enumerate("".join(_PARTS))}
+_CODES = [bytes(_LETTER_CODE[c] for c in part) for part in _PARTS] + [bytes(range(1, 32))]
+#: The letters of one part that a word of bits has room for.
+_ROOM = 64
+
+
+@F.pandas_udf(T.BinaryType())
+def letter_codes(s: pd.Series) -> pd.Series:
+    """A byte for each letter of a text: common letters have their own, rare ones one of 31, which several may share."""
+    code = dict(_LETTER_CODE)
+    return s.map(lambda text: bytes([code.get(c) or code.setdefault(c, ord(c) % 31 + 1) for c in text or ""]))
+
+
+class _Part:
+    """The letters of one part, in their order, in all texts of a group; how many of them a left and another text share."""
+
+    def __init__(self, texts: list[bytes], codes: bytes, ls: np.ndarray, rs: np.ndarray):
+        others = bytes(set(range(256)) - set(codes))
+        own = [x.translate(None, others) for x in texts]
+        self.ls, self.rs, self.n = ls, rs, np.array([len(x) for x in own], np.int32)
+        letters = np.frombuffer(b"".join(x[:_ROOM].ljust(_ROOM, b"\0") for x in own), np.uint8).reshape(-1, _ROOM) & 31
+        place = np.zeros((len(ls), 32), np.uint64)
+        for k in range(_ROOM):
+            c = letters[ls, k]
+            at = np.flatnonzero(c)
+            place[at, c[at]] |= np.uint64(1 << k)
+        self.place, self.text = place.reshape(-1), np.ascontiguousarray(letters[rs].T)
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The length of the longest common subsequence; if there is no room for one of the texts, the lesser number of letters."""
+        a, b = self.n[self.ls[i]], self.n[self.rs[j]]
+        at, free = i * 32, np.full(len(i), 2**64 - 1, np.uint64)
+        for c in self.text[: b.max(initial=0)]:
+            u = self.place.take(at + c.take(j))
+            u &= free
+            rest = free - u
+            free += u
+            free |= rest
+        return np.where(np.maximum(a, b) > _ROOM, np.minimum(a, b), _ROOM - np.bitwise_count(free).astype(np.int32))
+
+
+def close_letters(threshold: float):
+    """For groups of ``left, own, id, n, k0..k3, other, code``: the pairs ``(a, b)`` of a left and another row whose letters may give
+    a ratio of ``threshold``; pairs with an ``own`` row once.
+
+    A common subsequence holds no more letters than both texts share, and of each part of the alphabet no more than the common
+    subsequence of that part's letters.  Every pair of the group meets the first bound, for which one left row is compared with
+    all others at once; what passes is gathered and meets the bounds by parts, a word of 64 bits for each pair, rare letters first.
+    """
+    low = threshold / (2 - threshold)
+
+    def pairs(t: pa.Table) -> pa.Table:
+        col = lambda name: t.column(name).to_numpy()
+        left = col("left").astype(bool)
+        n, other, ids, own = col("n").astype(np.int32), col("other").astype(np.int32), col("id"), col("own").astype(bool)
+        ls, rs = np.flatnonzero(left), np.flatnonzero(~left)
+        ls = ls[np.argsort(n[ls], kind="stable")]
+        words, texts = [col(f"k{k}").view(np.uint64) for k in range(4)], t.column("code").to_pylist()
+        parts = [_Part(texts, codes, ls, rs) for codes in _CODES]
+        bits = [[w & m for w, m in zip(words, masks)] for masks in _PART_BITS]
+        # common letters without room, of which any may match
+        over = n - parts[2].n - sum(np.bitwise_count(w).astype(np.int32) for part in bits for w in part)
+        out, held, most = [], [], 0
+
+        def verify() -> None:
+            i, j = np.concatenate([np.full(len(x), k) for k, x in held]), np.concatenate([x for _, x in held])
+            held.clear()
+            known = parts[2].shared(i, j)
+            for left_over in (2, 1, 0):  # the parts that are still bounded by their numbers of letters
+                a, b = ls[i], rs[j]
+                may = known + (np.minimum(over[a], over[b]) if left_over else 0)
+                for part in bits[:left_over]:
+                    for w in part:
+                        may = may + np.bitwise_count(w[a] & w[b])
+                good = 2 * may >= threshold * (n[a] + n[b])
+                i, j, known = i[good], j[good], known[good]
+                if left_over:
+                    known = known + parts[left_over - 1].shared(i, j)
+            out.append((ids[ls[i]], ids[rs[j]]))
+
+        brief = np.int16 if n.max(initial=0) < 16_000 else np.int32
+        rw, rn, ro, rid, rown = [w[rs] for w in words], n[rs], other[rs].astype(brief), ids[rs], own[rs]
+        last = None
+        for k, i in enumerate(ls):
+            if n[i] != last:
+                last = n[i]
+                fits = np.minimum(rn, last) >= low * np.maximum(rn, last)
+                need = np.where(fits, np.ceil(threshold * (rn + last) / 2 - 1e-9), np.iinfo(brief).max).astype(brief)
+            may = np.minimum(ro, brief(other[i]))
+            for w, x in zip(rw, (w[i] for w in words)):
+                may += np.bitwise_count(w & x)
+            hit = np.flatnonzero(may >= need)
+            hit = hit[np.where(rown[hit], rid[hit] > ids[i], rid[hit] != ids[i])]
+            if len(hit):
+                held.append((k, hit))
+                most += len(hit)
+            if most >= 1 << 14:
+                verify()
+                most = 0
+        if held:
+            verify()
+        a, b = (np.concatenate([x[s] for x in out]) if out else np.empty(0, np.int64) for s in (0, 1))
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return pairs
+
+
 def common_length(a: str, b: str) -> int:
     """The length of the longest common subsequence: one addition of whole numbers for each letter of ``b``."""
     place: dict[str, int] = {}

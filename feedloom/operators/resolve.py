@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedloom.functions.text import comparable_title
-from feedloom.functions.udfs import letter_bits, ratio_from
+from feedloom.functions.udfs import close_letters, letter_bits, letter_codes, ratio_from
 from feedloom.operators.components import components
 from feedloom.session import cut
 
+#: The most titles, about, that one side of a block holds.
+BLOCK = 16_384
+
 
 def key_edges(df: DataFrame, row_id: str, keys: list[Column]) -> DataFrame:
     """``(a, b)``: every record linked to the first one that shares a key; a star for each key, never all pairs."""
@@ -50,38 +53,48 @@ def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: flo
     are compared; a record without a date is near all.
 
     Every title is compared once, however many records carry it.  Exact pruning: lengths must satisfy min/max >= t / (2 - t),
-    letters bound the matching blocks from above, then the longest common subsequence does.
+    letters bound the matching blocks from above, then the longest common subsequences of parts of the alphabet do, then that
+    of all letters.  Titles meet in blocks of at most about ``BLOCK`` on either side, each held by one task.
     """
+    spark = df.sparkSession
     day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(86_400_000_000.0) / days).cast("bigint")
-    seen = df.select(F.col(row_id).alias("id"), comparable_title(F.col(title)).alias("t"), day.alias("cell")).filter("t != ''")
-    low = threshold / (2 - threshold)
-    titles = seen.groupBy("t").agg(F.min("id").alias("id")).withColumn("n", F.length("t")).withColumn("bits", letter_bits("t"))
-    titles = cut(titles.select("t", "id", "n", *[F.get("bits", F.lit(k)).alias(f"k{k}") for k in range(4)]).withColumn("other", F.col("n") - _shared("", "")))
+    seen = df.select(F.col(row_id).cast("bigint").alias("id"), comparable_title(F.col(title)).alias("t"), day.alias("cell")).filter("t != ''")
+    titles = seen.groupBy("t").agg(F.min("id").alias("id")).withColumn("n", F.length("t")).withColumn("bits", letter_bits("t")).withColumn("code", letter_codes("t"))
+    titles = cut(titles.select("t", "id", "n", "code", *[F.get("bits", F.lit(k)).alias(f"k{k}") for k in range(4)]).withColumn("other", F.col("n") - reduce(lambda x, y: x + y, [F.bit_count(f"k{k}") for k in range(4)])))
     brief = titles.drop("t")
     cells = cut(seen.select("t", "cell").distinct().join(titles.select("t", "id"), "t").select("id", "cell"))
-    size = F.floor(F.log("n") / math.log(1 / low)).cast("bigint")
-
-    def close(l: DataFrame, r: DataFrame, on: str) -> DataFrame:
-        """Pairs of titles that meet and pass the bounds; letters without room may match without bound."""
-        may = _shared("l.", "r.") + F.least("l.other", "r.other")
-        good = (F.col(f"l.{on}") == F.col(f"r.{on}")) & (F.col("l.id") != F.col("r.id")) & (F.least("l.n", "r.n") >= low * F.greatest("l.n", "r.n")) & (2 * may >= threshold * (F.col("l.n") + F.col("r.n")))
-        return l.alias("l").join(r.alias("r"), good).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
-
-    when = cells.filter("cell is not null").join(brief, "id")
-    near = close(when, when.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))), "cell")
-    undated = brief.join(cells.filter("cell is null").select("id"), "id", "left_semi").withColumn("size", F.explode(F.sequence(size - 1, size + 1)))
-    pairs = near.union(close(undated, brief.withColumn("size", size), "size")).distinct()
+    # what is left of either step costs far more a row than moving it: over all cores, whatever its size in bytes
+    wide = 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    part = lambda k: F.pmod(F.xxhash64("id"), k)
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1))
+
+    def side(rows: DataFrame, left: bool, own: Column, *key: Column) -> DataFrame:
+        """``rows`` at one side of the groups of ``key``."""
+        return rows.select(*[k.alias(f"g{i}") for i, k in enumerate(key)], F.lit(left).alias("left"), own.alias("own"), *brief.columns)
+
+    when = cells.filter("cell is not null")
+    blocks = cut(when.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("k")))
+    when = when.join(brief, "id")
+    here, after = when.join(blocks, "cell"), when.withColumn("cell", F.col("cell") - 1).join(blocks, "cell")
+    dated = [
+        side(here.withColumn("r", every(F.col("k"))), True, F.lit(True), F.col("cell"), part(F.col("k")), F.col("r")),
+        side(here.withColumn("l", every(F.col("k"))), False, F.lit(True), F.col("cell"), F.col("l"), part(F.col("k"))),
+        side(after.withColumn("l", every(F.col("k"))), False, F.lit(False), F.col("cell"), F.col("l"), part(F.col("k"))),
+    ]
+    without = cells.filter("cell is null").select("id")
+    few, all_ = max(1, math.ceil(without.count() / BLOCK)), max(wide, math.ceil(titles.count() / BLOCK))
+    few, all_, none = F.lit(few).cast("bigint"), F.lit(all_).cast("bigint"), F.lit(None).cast("bigint")
+    undated = [
+        side(brief.join(without, "id", "left_semi").withColumn("r", every(all_)), True, F.lit(True), none, part(few), F.col("r")),
+        side(brief.join(without.withColumn("own", F.lit(True)), "id", "left").withColumn("l", every(few)), False, F.coalesce("own", F.lit(False)), none, F.col("l"), part(all_)),
+    ]
+    met = reduce(DataFrame.union, dated + undated).repartition(wide, "g0", "g1", "g2")
+    pairs = cut(met.groupBy("g0", "g1", "g2").applyInArrow(close_letters(threshold), "a bigint, b bigint").distinct())
     pairs = pairs.join(titles.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(titles.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-    # what is left costs far more a row than moving it: over all cores, whatever its size in bytes
-    spark = df.sparkSession
-    pairs = pairs.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "a", "b")
+    pairs = pairs.repartition(wide, "a", "b")
     return pairs.withColumn("similarity", F.round(ratio_from(threshold)("x", "y"), 6)).filter("similarity is not null").select("x", "y", "a", "b", "similarity")
 
 
-def _shared(l: str, r: str) -> Column:
-    return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{l}k{k}").bitwiseAND(F.col(f"{r}k{k}"))) for k in range(4)])
-
-
 def title_edges(df: DataFrame, row_id: str, title: str, at: str, links: DataFrame, days: int = 7) -> DataFrame:
     """``(a, b)``: edges whose closure is that of all records with equal or linked titles (``links``: x, y) within ``days`` of each
     other, or without a date.

@@ -130,6 +130,38 @@ def test_fuzzy_titles_and_their_closure(spark, sf):
     assert closure(edges) == closure(want)
 
 
+def test_close_letters_lose_no_pair_and_leave_few():
+    """Titles of one vocabulary share most letters; their order has to tell them before each pair is read letter by letter."""
+    from collections import Counter
+
+    import pandas as pd
+    import pyarrow as pa
+
+    from feedloom.functions import udfs
+
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("etaoinsrlhdcumpfgyvbwk", weights=range(22, 0, -1), k=rng.randint(3, 12))) for _ in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=17)) for _ in range(150)]
+    for k in range(60):
+        t = list(rng.choice(texts))
+        for _ in range(rng.randrange(1, 30)):
+            t[rng.randrange(len(t))] = rng.choice("etaoin \u00e9z(7")
+        texts.append("".join(t))
+    texts += ["e" * 300 + "xyz", "e" * 290 + "xyz", "k" * 100, "k" * 95, "ab", "abc", "kz" * 20_000, "kz" * 19_999]
+    s = pd.Series(texts)
+    bits = udfs.letter_bits.func(s)
+    rows = [{"id": i, "n": len(t), "code": c, "other": len(t) - sum(int(x % (1 << 64)).bit_count() for x in b), **{f"k{k}": b[k] for k in range(4)}} for i, (t, b, c) in enumerate(zip(texts, bits, udfs.letter_codes.func(s)))]
+    table = pa.Table.from_pylist([r | {"left": True, "own": True} for r in rows] + [r | {"left": False, "own": r["id"] % 2 == 0} for r in rows])
+    met = udfs.close_letters(0.85)(table).to_pylist()
+    got = {(r["a"], r["b"]) for r in met}
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    near = {(i, j) for i, j in pairs if min(len(texts[i]), len(texts[j])) >= 0.85 / 1.15 * max(len(texts[i]), len(texts[j])) and 2 * udfs.common_length(texts[i], texts[j]) >= 0.85 * (len(texts[i]) + len(texts[j]))}
+    letters = sum(2 * sum((Counter(texts[i]) & Counter(texts[j])).values()) >= 0.85 * (len(texts[i]) + len(texts[j])) for i, j in pairs)
+    assert near <= got and len(near) > 60 and all(a < b for a, b in got)
+    assert len(got) < 2 * len(near) + 20 < letters / 10
+    assert all(r["a"] % 2 or r["b"] % 2 or met.count(r) == 1 for r in met)
+
+
 def test_letter_bits_and_common_length_bound_the_ratio(spark):
     from feedloom.functions import udfs
 
