@@ -162,6 +162,23 @@ def test_close_letters_lose_no_pair_and_leave_few():
     assert all(r["a"] % 2 or r["b"] % 2 or met.count(r) == 1 for r in met)
 
 
+def test_titles_without_dates_meet_in_blocks(spark, monkeypatch):
+    """Clusters need each link once, also where titles fill several blocks."""
+    rng = random.Random(8)
+    monkeypatch.setattr(resolve, "BLOCK", 7)
+    base = [" ".join("".join(rng.choices("etaoinsrlhdcum", k=6)) for _ in range(6)) for _ in range(25)]
+    rows = [(k, b[:j] + "q" + b[j:], day) for k, (b, j, day) in enumerate((b, rng.randrange(40), rng.choice([None, 1, 9, 16])) for b in base * 3)]
+    df = spark.createDataFrame(rows, "i bigint, t string, d int").select("i", "t", F.timestamp_seconds(F.col("d") * 86400).alias("at"))
+    first, days = {}, {}
+    for i, t, d in rows:
+        first.setdefault(t, i)
+        days.setdefault(t, set()).add(None if d is None else d // 7)
+    near = lambda x, y: any(a is None or b is None or abs(a - b) <= 1 for a in days[x] for b in days[y])
+    ordered = sorted(first, key=first.get)
+    want = sorted((first[x], first[y]) for k, y in enumerate(ordered) for x in ordered[:k] if near(x, y) and difflib.SequenceMatcher(None, x, y).ratio() >= 0.85)
+    assert sorted((r.a, r.b) for r in resolve.fuzzy_titles(df, "i", "t", "at").collect()) == want and len(want) > 30
+
+
 def test_letter_bits_and_common_length_bound_the_ratio(spark):
     from feedloom.functions import udfs
 
