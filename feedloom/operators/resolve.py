@@ -15,7 +15,7 @@ from feedloom.operators.components import components
 from feedloom.session import cut
 
 #: The most titles, about, that one side of a block holds.
-BLOCK = 16_384
+BLOCK = 24_576
 
 
 def key_edges(df: DataFrame, row_id: str, keys: list[Column]) -> DataFrame:
@@ -47,10 +47,10 @@ def best_of(df: DataFrame, cluster: str, score: str, row_id: str) -> DataFrame:
     return df.groupBy(cluster).agg(best.alias("_best"), F.count("*").alias("cluster_size")).select(cluster, "cluster_size", "_best.*")
 
 
-def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: float = 0.85, days: int = 7) -> DataFrame:
+def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: float = 0.85, days: int = 7, ready: bool = False) -> DataFrame:
     """``(x, y, a, b, similarity)``: different titles with a matching-block ratio of at least ``threshold``, the first record of
     each, and their ratio, the earlier record's title first.  Only titles with records in neighbouring periods of ``days``
-    are compared; a record without a date is near all.
+    are compared; a record without a date is near all.  With ``ready``, ``title`` is a comparable one already.
 
     Every title is compared once, however many records carry it.  Exact pruning: lengths must satisfy min/max >= t / (2 - t),
     letters bound the matching blocks from above, then the longest common subsequences of parts of the alphabet do, then that
@@ -58,13 +58,13 @@ def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: flo
     """
     spark = df.sparkSession
     day = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / F.lit(86_400_000_000.0) / days).cast("bigint")
-    seen = df.select(F.col(row_id).cast("bigint").alias("id"), comparable_title(F.col(title)).alias("t"), day.alias("cell")).filter("t != ''")
+    seen = df.select(F.col(row_id).cast("bigint").alias("id"), (F.col(title) if ready else comparable_title(F.col(title))).alias("t"), day.alias("cell")).filter("t != ''")
     titles = seen.groupBy("t").agg(F.min("id").alias("id")).withColumn("n", F.length("t")).withColumn("bits", letter_bits("t")).withColumn("code", letter_codes("t"))
     titles = cut(titles.select("t", "id", "n", "code", *[F.get("bits", F.lit(k)).alias(f"k{k}") for k in range(4)]).withColumn("other", F.col("n") - reduce(lambda x, y: x + y, [F.bit_count(f"k{k}") for k in range(4)])))
     brief = titles.drop("t")
     cells = cut(seen.select("t", "cell").distinct().join(titles.select("t", "id"), "t").select("id", "cell"))
     # what is left of either step costs far more a row than moving it: over all cores, whatever its size in bytes
-    wide = 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     part = lambda k: F.pmod(F.xxhash64("id"), k)
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), k - 1))
 
@@ -82,20 +82,21 @@ def fuzzy_titles(df: DataFrame, row_id: str, title: str, at: str, threshold: flo
         side(after.withColumn("l", every(F.col("k"))), False, F.lit(False), F.col("cell"), F.col("l"), part(F.col("k"))),
     ]
     without = cells.filter("cell is null").select("id")
-    few, all_ = max(1, math.ceil(without.count() / BLOCK)), max(wide, math.ceil(titles.count() / BLOCK))
-    few, all_, none = F.lit(few).cast("bigint"), F.lit(all_).cast("bigint"), F.lit(None).cast("bigint")
+    few = max(1, math.ceil(without.count() / BLOCK))
+    all_ = max(math.ceil(cores / few), math.ceil(titles.count() / BLOCK))  # each block is prepared anew wherever it meets others
+    wide, few, all_, none = 2 * cores, F.lit(few).cast("bigint"), F.lit(all_).cast("bigint"), F.lit(None).cast("bigint")
     undated = [
         side(brief.join(without, "id", "left_semi").withColumn("r", every(all_)), True, F.lit(True), none, part(few), F.col("r")),
         side(brief.join(without.withColumn("own", F.lit(True)), "id", "left").withColumn("l", every(few)), False, F.coalesce("own", F.lit(False)), none, F.col("l"), part(all_)),
     ]
-    met = reduce(DataFrame.union, dated + undated).repartition(wide, "g0", "g1", "g2")
+    met = reduce(DataFrame.union, dated + undated).repartition(8 * cores, "g0", "g1", "g2")  # large blocks seldom share a task
     pairs = cut(met.groupBy("g0", "g1", "g2").applyInArrow(close_letters(threshold), "a bigint, b bigint").distinct())
     pairs = pairs.join(titles.select(F.col("id").alias("a"), F.col("t").alias("x")), "a").join(titles.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
     pairs = pairs.repartition(wide, "a", "b")
     return pairs.withColumn("similarity", F.round(ratio_from(threshold)("x", "y"), 6)).filter("similarity is not null").select("x", "y", "a", "b", "similarity")
 
 
-def title_edges(df: DataFrame, row_id: str, title: str, at: str, links: DataFrame, days: int = 7) -> DataFrame:
+def title_edges(df: DataFrame, row_id: str, title: str, at: str, links: DataFrame, days: int = 7, ready: bool = False) -> DataFrame:
     """``(a, b)``: edges whose closure is that of all records with equal or linked titles (``links``: x, y) within ``days`` of each
     other, or without a date.
 
@@ -103,7 +104,7 @@ def title_edges(df: DataFrame, row_id: str, title: str, at: str, links: DataFram
     periods are joined by their nearest records, and a group with an undated record is one star.  So a common title
     gives one edge a record and is never gathered.
     """
-    own = df.select(F.col(row_id).alias("id"), comparable_title(F.col(title)).alias("t"), F.unix_micros(F.col(at).cast("timestamp")).alias("at")).filter("t != ''")
+    own = df.select(F.col(row_id).alias("id"), (F.col(title) if ready else comparable_title(F.col(title))).alias("t"), F.unix_micros(F.col(at).cast("timestamp")).alias("at")).filter("t != ''")
     group = F.concat_ws("\n", "x", "y")
     member = links.select(F.col("x").alias("t"), group.alias("g")).union(links.select(F.col("y").alias("t"), group.alias("g")))
     rows = cut(own.withColumn("g", F.col("t")).union(own.join(member, "t").select("id", "t", "at", "g")).select("g", "id", "at", F.floor(F.col("at") / F.lit(86_400_000_000.0) / days).cast("bigint").alias("cell")))

@@ -46,9 +46,10 @@ def fuzzy_title_pairs(spark: SparkSession, sf: str) -> DataFrame:
 def article_clusters(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters over identifiers, URLs and similar titles near in time together, and the richest record of each."""
     df = _dated(spark, sf).select("seq", "doi", "pmid", "canonical_url", "title", "at", resolve.richness(F.col("doi"), F.col("pmid"), F.col("authors"), F.col("summary"), F.col("published_at"), F.col("tags")).alias("richness"))
-    df = cut(df)
-    links = cut(resolve.fuzzy_titles(df, "seq", "title", "at").select("x", "y"))
-    edges = resolve.key_edges(df, "seq", _keys(df)).union(resolve.title_edges(df, "seq", "title", "at", links))
+    keys = [f"key{k}" for k in range(3)]
+    df = cut(df.select("seq", comparable_title(F.col("title")).alias("title"), "at", "richness", *[k.alias(c) for c, k in zip(keys, _keys(df))]))
+    links = cut(resolve.fuzzy_titles(df, "seq", "title", "at", ready=True).select("x", "y"))
+    edges = resolve.key_edges(df, "seq", [F.col(c) for c in keys]).union(resolve.title_edges(df, "seq", "title", "at", links, ready=True))
     best = resolve.best_of(resolve.clusters(df.select("seq", "richness"), "seq", edges), "cluster_id", "richness", "seq")
     return best.filter("cluster_size > 1").select("cluster_id", "seq", "richness", "cluster_size")
 

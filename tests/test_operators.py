@@ -6,6 +6,7 @@ import json
 import random
 import urllib.error
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,39 @@ def test_close_letters_lose_no_pair_and_leave_few():
     assert all(r["a"] % 2 or r["b"] % 2 or met.count(r) == 1 for r in met)
 
 
+def test_counts_leave_few_pairs_to_the_subsequences(sf, monkeypatch):
+    """Titles of one vocabulary: counts of letters and of their pairs have to tell most of them apart, and lose none."""
+    import pandas as pd
+    import pyarrow as pa
+
+    titles = pd.read_parquet(f"{sf}/normalized_item.parquet", columns=["title"]).title
+    texts = sorted({t.lower() for t in titles.dropna() if len(t) > 60})
+    texts += [t[:9] + "x" + t[12:] for t in texts[:40]] + [texts[0] * 5, texts[0] * 5 + "y", texts[1] * 12, texts[1] * 12 + "y"]
+    s = pd.Series(texts)
+    bits = udfs.letter_bits.func(s)
+    rows = [{"id": i, "n": len(t), "code": c, "other": len(t) - sum(int(x % (1 << 64)).bit_count() for x in b), **{f"k{k}": b[k] for k in range(4)}} for i, (t, b, c) in enumerate(zip(texts, bits, udfs.letter_codes.func(s)))]
+    table = pa.Table.from_pylist([r | {"left": left, "own": True} for left in (True, False) for r in rows])
+    shared, met = udfs._Part.shared, []
+    monkeypatch.setattr(udfs._Part, "shared", lambda part, i, j: (met.append((id(part), len(i))), shared(part, i, j))[1])
+    got = {(r["a"], r["b"]) for r in udfs.close_letters(0.85)(table).to_pylist()}
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    near = {(i, j) for i, j in pairs if 2 * udfs.common_length(texts[i], texts[j]) >= 0.85 * (len(texts[i]) + len(texts[j]))}
+    first = sum(k for part, k in met if part == met[0][0])
+    assert near <= got and len(near) > 40 and first < len(pairs) / 20
+
+
+def test_matching_letters_are_those_of_difflib():
+    rng = random.Random(6)
+    xs, ys = (["".join(rng.choices("ab c\u00e9\U0001f600", k=rng.randrange(low, 70))) for _ in range(400)] for low in (0, 0))
+    ys[:150] = [x[:7] + y[:3] + x[12:] for x, y in zip(xs, ys[:150])]
+    want = [sum(m.size for m in difflib.SequenceMatcher(None, x, y).get_matching_blocks()) for x, y in zip(xs, ys)]
+    assert udfs.matching_letters(xs, ys, np.zeros(400)).tolist() == want
+    least = np.array([0.4 * (len(x) + len(y)) for x, y in zip(xs, ys)])
+    got = udfs.matching_letters(xs, ys, least)
+    assert all(g == w if w >= n else g < n for g, w, n in zip(got, want, least)) and sum(w >= n for w, n in zip(want, least)) > 50
+    assert udfs.matching_letters([], [], np.zeros(0)).tolist() == []
+
+
 def test_titles_without_dates_meet_in_blocks(spark, monkeypatch):
     """Clusters need each link once, also where titles fill several blocks."""
     rng = random.Random(8)
